@@ -1,9 +1,10 @@
-"""Joins that treat null as a value.
+"""Joins: null as a value, and broadcasts behind a size check.
 
-No join hint is given anywhere: dimensions are read from stored tables, so
-Spark knows their size and broadcasts them only below
-``spark.sql.autoBroadcastJoinThreshold``; above it the join is a shuffle
-join, with hot keys split by adaptive execution.
+Stored dimensions are joined without a hint: Spark knows the size of their
+files, broadcasts below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
+above it, with hot keys split by adaptive execution. For a computed side
+Spark only has an estimate, which for a join is the product of its inputs;
+``broadcast_if_small`` measures such a side instead.
 """
 
 from __future__ import annotations
@@ -25,3 +26,18 @@ def lookup(
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(alias)) for c, alias in aliases.items()]
     )
     return left.join(other, match, how).drop(*aliases.values())
+
+
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a side for broadcast if its rows, written out, fit in ``max_bytes``.
+
+    The size is measured in a distributed pass over the side, so this is for
+    sides that are small beside the other one. A larger side is returned as it
+    is and joined by shuffle.
+    """
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

@@ -109,13 +109,13 @@ def orphans(
             )
             for column, (dim, key) in references.items()
         ],
-    )
+    ).distinct()
     missing = used.join(known, ["columna", "clave"], "left_anti")
     allowed = F.col("clave").isNull() & F.col("columna").isin(list(optional))
     found = missing.filter(~allowed).groupBy("columna").agg(F.sum("n").alias("n"))
     # One row per key column, also where nothing is missing.
-    spark = fact.sparkSession
-    listed = spark.createDataFrame([(c,) for c in references], "columna string")
+    names = F.array(*[F.lit(c) for c in references])
+    listed = fact.sparkSession.range(1).select(F.explode(names).alias("columna"))
     return listed.join(found, "columna", "left").select(
         F.lit(rule).alias("regla"),
         "columna",

@@ -1,7 +1,9 @@
 """Wide extracts from the normalised source tables.
 
 The small tables are joined with each other first, so the ticket table meets
-four sides instead of seven and is joined with projected columns only.
+four sides instead of seven. Sides that are joins themselves are measured
+before they are broadcast; patients are left to Spark, which shuffles the
+ticket table by patient when there are many.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinicmart.operators.joins import broadcast_if_small
 from clinicmart.schema import CAMPAIGN_COLUMNS, CENTER_COLUMNS, TICKET_COLUMNS
 
 
@@ -39,8 +42,8 @@ def extract_tickets(tables: Mapping[str, DataFrame]) -> DataFrame:
     return (
         tables["FichaMedica"]
         .join(specialties, "idEspecialidad")
-        .join(centers, "idCentro")
-        .join(doctors, "idMedico")
+        .join(broadcast_if_small(centers), "idCentro")
+        .join(broadcast_if_small(doctors), "idMedico")
         .join(patients, "idPaciente")
         .select(*TICKET_COLUMNS)
     )

@@ -200,22 +200,29 @@ def campaign_fact(
 # ------------------------------------------------------------- wide and checks
 
 
+def fact_of_years(star: Star, years: Sequence[int] | None) -> DataFrame:
+    """The fact, restricted to years by ranges of its date key.
+
+    A range on a stored column reaches the scan and skips files, which a
+    filter on the calendar's year would not.
+    """
+    if years is None:
+        return star.fact
+    key = F.col("fecha_key")
+    wanted = F.lit(False)
+    for year in years:
+        wanted = wanted | key.between(year * 10_000, year * 10_000 + 9_999)
+    return star.fact.filter(wanted)
+
+
 def star_wide(
     star: Star, years: Sequence[int] | None = None, extra: Sequence[str] = ()
 ) -> DataFrame:
     """The fact with its descriptions, base of all slices.
 
-    ``years`` restricts the fact by its date key before any join: a range on
-    a stored column reaches the scan and skips files, which a filter on the
-    calendar's year would not. ``extra`` names further fact columns to keep.
+    ``years`` restricts the scan, ``extra`` names further fact columns to keep.
     """
-    fact = star.fact
-    if years is not None:
-        key = F.col("fecha_key")
-        wanted = F.lit(False)
-        for year in years:
-            wanted = wanted | key.between(year * 10_000, year * 10_000 + 9_999)
-        fact = fact.filter(wanted)
+    fact = fact_of_years(star, years)
     dims = star.dims
     return (
         fact.join(dims.calendar.select("fecha_key", "fecha", "anio", "mes", "nombre_mes"), "fecha_key")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clinicmart.functions import dates, measures
 from clinicmart.operators.rows import is_empty, rename_columns
 from clinicmart.plans.gold import Star, star_wide
+from clinicmart.plans.views import daily_saturation
 from clinicmart.schema import (
     CLOSED_STATES,
     DETAIL_COLUMNS,
@@ -59,6 +60,11 @@ def slice_saturation(saturation: DataFrame, selection: Selection) -> DataFrame:
     return saturation.filter(selection.of_saturation())
 
 
+def star_saturation(star: Star, selection: Selection) -> DataFrame:
+    """Daily saturation of a slice; chosen years also restrict the scan of the fact."""
+    return slice_saturation(daily_saturation(star, selection.years), selection)
+
+
 def no_rows(sliced: DataFrame) -> bool:
     """Whether a slice is empty, to be asked before showing anything of it."""
     return is_empty(sliced)

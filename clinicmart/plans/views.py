@@ -7,14 +7,14 @@ on groups instead of rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinicmart.functions import measures
-from clinicmart.plans.gold import Star
+from clinicmart.plans.gold import Star, fact_of_years
 from clinicmart.schema import CLOSED_STATES
 
 # Fact measure -> name of its total.
@@ -73,9 +73,12 @@ def general_kpis(star: Star) -> DataFrame:
     )
 
 
-def daily_saturation(star: Star) -> DataFrame:
-    """Tickets per day and centre against the centre's daily capacity."""
-    groups = star.fact.groupBy("fecha_key", "centro_key").agg(F.count("*").alias("n"))
+def daily_saturation(star: Star, years: Sequence[int] | None = None) -> DataFrame:
+    """Tickets per day and centre against the centre's daily capacity.
+
+    ``years`` restricts the scan of the fact.
+    """
+    groups = fact_of_years(star, years).groupBy("fecha_key", "centro_key").agg(F.count("*").alias("n"))
     described = groups.join(
         star.dims.calendar.select("fecha_key", "fecha", "anio", "mes", "nombre_mes"), "fecha_key"
     ).join(

@@ -90,7 +90,7 @@ def _items(schema: StructType) -> Column | None:
 
 def _require_lists(spark: SparkSession, path: str) -> None:
     """A reader shows a bare list and a lone object alike; only the list is a feed."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     first = F.substring(F.regexp_replace("value", r"^[\s\x{FEFF}]+", ""), 1, 1)
     if not text.filter(first != "[").isEmpty():
         raise ValueError("feed: document is neither a list nor has a data list")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinicmart.operators.joins import broadcast_if_small
 from clinicmart.schema import TICKET_COLUMNS
 
 AS_OF = "2001-12-31"
@@ -146,7 +147,7 @@ def bronze_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         )
         .join(customer, "idPaciente")
-        .join(places, "idCentro")
+        .join(broadcast_if_small(places), "idCentro")
         .select(*TICKET_COLUMNS)
     )
 

@@ -21,6 +21,12 @@ def clean_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean_tickets(b.bronze_tickets(spark, sf_dir), b.as_of())
 
 
+def clean_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean campaigns, computed from the source tables."""
+    bronze = extract.extract_campaigns(b.campaign_sources(spark, sf_dir))
+    return silver.clean_campaigns(bronze, b.LINE_ORDER)
+
+
 def indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean_indicator(b.yearly_records(spark, sf_dir), ["dim_29117"])
 
@@ -32,20 +38,41 @@ def store(spark: SparkSession, sf_dir: str) -> TierStore:
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean tickets as stored."""
-    _once(build_tickets, spark, sf_dir)
+    once(build_tickets, spark, sf_dir)
     return store(spark, sf_dir).read(runs.TICKETS)
 
 
 def star(spark: SparkSession, sf_dir: str) -> gold.Star:
     """The star as stored."""
-    _once(build_star, spark, sf_dir)
+    once(build_star, spark, sf_dir)
     return runs.load_star(store(spark, sf_dir))
 
 
+def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean campaigns as stored."""
+    once(build_campaigns, spark, sf_dir)
+    return store(spark, sf_dir).read(runs.CAMPAIGNS)
+
+
+def campaign_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign types as stored."""
+    once(build_campaign_types, spark, sf_dir)
+    return store(spark, sf_dir).read(runs.CAMPAIGN_TYPES)
+
+
 def build_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(spark, sf_dir).write(runs.TICKETS, clean_tickets(spark, sf_dir))
 
 
+def build_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store(spark, sf_dir).write(runs.CAMPAIGNS, clean_campaigns(spark, sf_dir))
+
+
+def build_campaign_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types = gold.campaign_type_dimension(campaigns(spark, sf_dir))
+    return store(spark, sf_dir).write(runs.CAMPAIGN_TYPES, types)
+
+
 def build_star(spark: SparkSession, sf_dir: str) -> gold.Star:
     centers = extract.extract_centers(b.centers(spark, sf_dir))
     return runs.build_star(
@@ -60,7 +87,8 @@ def build_star(spark: SparkSession, sf_dir: str) -> gold.Star:
 _built: set[tuple[str, str, str]] = set()
 
 
-def _once(build: Callable, spark: SparkSession, sf_dir: str) -> None:
+def once(build: Callable, spark: SparkSession, sf_dir: str) -> None:
+    """Run a build step unless this application has already run it on the folder."""
     done = (build.__name__, spark.sparkContext.applicationId, sf_dir)
     if done not in _built:
         build(spark, sf_dir)

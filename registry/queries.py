@@ -284,12 +284,7 @@ def silver_tickets_repeated(spark, sf_dir):
 @register
 def silver_campaigns(spark, sf_dir):
     """B2 on repeated campaigns."""
-    return _silver_campaigns(spark, sf_dir).drop(*b.LINE_ORDER)
-
-
-def _silver_campaigns(spark, sf_dir):
-    bronze = extract.extract_campaigns(b.campaign_sources(spark, sf_dir))
-    return silver.clean_campaigns(bronze, b.LINE_ORDER)
+    return marts.clean_campaigns(spark, sf_dir).drop(*b.LINE_ORDER)
 
 
 @register
@@ -340,7 +335,7 @@ def dim_context(spark, sf_dir):
 @register
 def campaign_types(spark, sf_dir):
     """B9."""
-    return gold.campaign_type_dimension(_silver_campaigns(spark, sf_dir))
+    return gold.campaign_type_dimension(marts.campaigns(spark, sf_dir))
 
 
 @register
@@ -351,10 +346,10 @@ def fact_visits(spark, sf_dir):
 
 @register
 def campaign_fact(spark, sf_dir):
-    """B10, J8."""
-    clean = _silver_campaigns(spark, sf_dir)
+    """The campaign fact, built from stored campaigns, centres and types."""
     centers = marts.star(spark, sf_dir).dims.center
-    return gold.campaign_fact(clean, centers, gold.campaign_type_dimension(clean))
+    types = marts.campaign_types(spark, sf_dir)
+    return gold.campaign_fact(marts.campaigns(spark, sf_dir), centers, types)
 
 
 @register
@@ -398,8 +393,7 @@ def _slice(spark, sf_dir, selection=slices.Selection()):
 
 
 def _saturation(spark, sf_dir, selection=slices.Selection()):
-    daily = views.daily_saturation(marts.star(spark, sf_dir))
-    return slices.slice_saturation(daily, selection)
+    return slices.star_saturation(marts.star(spark, sf_dir), selection)
 
 
 @register
