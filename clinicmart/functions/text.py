@@ -15,6 +15,7 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def strip(col: Column) -> Column:
+    """Remove white space of any kind at both ends."""
     return F.btrim(col.cast("string"), F.lit(WHITESPACE))
 
 

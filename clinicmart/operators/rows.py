@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,17 +24,24 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def dedup_then_require(
-    df: DataFrame, keys: Sequence[str], required: Sequence[str], order_by: Sequence[str]
+def first_complete(
+    df: DataFrame,
+    keys: Sequence[str],
+    required: Sequence[str],
+    order_by: Sequence[str],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """First row per key, then drop incomplete rows: an incomplete first row removes its key.
 
-    Rows without a key would collapse to one row and then be dropped, so when
-    the key is required they are dropped before the shuffle instead.
+    ``prepare`` runs in between, on the rows that are left and spread evenly by
+    the shuffle; it must not change the keys. Rows without a key would
+    collapse to one row and then be dropped, so when the key is required they
+    are dropped before the shuffle instead.
     """
     always = [k for k in keys if k in required]
     keyed = require(df, always) if always else df
-    return require(first_per_key(keyed, keys, order_by), required)
+    first = first_per_key(keyed, keys, order_by)
+    return require(prepare(first) if prepare else first, required)
 
 
 def present(df: DataFrame, columns: Sequence[str]) -> list[str]:

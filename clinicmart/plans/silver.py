@@ -42,32 +42,41 @@ def clean_tickets(
 ) -> DataFrame:
     """Clean tickets, one row per complete ticket.
 
-    ``order_by`` says which of several rows of a ticket came first; without an
-    ingest order any one of equal keys is kept. ``as_of`` is the day ages are
-    counted to; state it, so that a rerun gives the same ages.
+    ``order_by`` says which of several rows of a ticket came first, by columns
+    as they came in; without an ingest order any one of equal keys is kept.
+    ``as_of`` is the day ages are counted to; state it, so that a rerun gives
+    the same ages.
     """
-    clean = clean_columns(bronze, TICKET_RULES)
-    when = F.col("fechaHoraReserva")
-    derived = clean.withColumns(
-        {
-            "anio": F.year(when),
-            "mes": F.month(when),
-            "dia": F.dayofmonth(when),
-            "fecha": dates.day(when),
-            "edad_aprox": dates.age_years(F.col("fechaNacimiento"), as_of),
-        }
+
+    def prepare(df: DataFrame) -> DataFrame:
+        when = F.col("fechaHoraReserva")
+        return clean_columns(df, TICKET_RULES).withColumns(
+            {
+                "anio": F.year(when),
+                "mes": F.month(when),
+                "dia": F.dayofmonth(when),
+                "fecha": dates.day(when),
+                "edad_aprox": dates.age_years(F.col("fechaNacimiento"), as_of),
+            }
+        )
+
+    return rows.first_complete(
+        bronze, TICKET_RULES.key, TICKET_RULES.required, order_by, prepare
     )
-    return rows.dedup_then_require(derived, TICKET_RULES.key, TICKET_RULES.required, order_by)
 
 
 def clean_campaigns(
     bronze: DataFrame, order_by: Sequence[str] = ("codigoCampana",)
 ) -> DataFrame:
     """Clean campaigns with their length in days."""
-    clean = clean_columns(bronze, CAMPAIGN_RULES).withColumn(
-        "duracionDias", dates.whole_days(F.col("fechaInicio"), F.col("fechaFin"))
+
+    def prepare(df: DataFrame) -> DataFrame:
+        length = dates.whole_days(F.col("fechaInicio"), F.col("fechaFin"))
+        return clean_columns(df, CAMPAIGN_RULES).withColumn("duracionDias", length)
+
+    return rows.first_complete(
+        bronze, CAMPAIGN_RULES.key, CAMPAIGN_RULES.required, order_by, prepare
     )
-    return rows.dedup_then_require(clean, CAMPAIGN_RULES.key, CAMPAIGN_RULES.required, order_by)
 
 
 def clean_indicator(records: DataFrame, order_by: Sequence[str]) -> DataFrame:

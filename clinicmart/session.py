@@ -20,6 +20,11 @@ def build_session(app: str = "clinicmart", master: str | None = None, **conf: st
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JIT compiler skips methods above this size; a projection that cleans
+        # dozens of columns is then better split than fused with its stage.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Recording a call site for each column expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -25,7 +25,7 @@ def test_first_row_decides_and_may_remove_its_key(spark):
          (6, None, None), (7, "c", "w")],
         "orden int, k string, estado string",
     )
-    got = rows.dedup_then_require(df, ["k"], ["k", "estado"], ["orden"])
+    got = rows.first_complete(df, ["k"], ["k", "estado"], ["orden"])
     assert as_set(got) == {(3, "b", "y"), (7, "c", "w")}
 
 
