@@ -24,13 +24,14 @@ from registry.queries import all_queries  # noqa: E402
 HEADLINE = (
     "extract_tickets", "silver_tickets_repeated", "silver_campaigns", "dedup_first",
     "dense_key_ranges", "fact_visits", "campaign_fact", "star_wide", "kpis_general",
-    "saturation_daily", "noshow_specialty", "monthly_series", "kpi_row", "kpi_row_chosen",
+    "saturation_daily", "noshow_specialty", "monthly_series", "kpi_row", "kpi_row_chosen", "kpi_row_summary", "drill_center_summary",
     "drill_specialty", "drill_center", "saturation_center", "detail_header", "detail_rows",
     "profile_nulls", "check_unique", "check_orphans", "check_star",
 )
 BUILDS = {
     "build_tickets": marts.build_tickets,
     "build_star": marts.build_star,
+    "build_summary": marts.build_summary,
     "build_campaigns": marts.build_campaigns,
     "build_campaign_types": marts.build_campaign_types,
 }

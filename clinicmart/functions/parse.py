@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, IntegralType, StringType
 
 from clinicmart.functions.text import strip
 from clinicmart.schema import PLAIN_YEARS, YEAR_CODE_OFFSET
@@ -29,6 +29,13 @@ def lenient_number(col: Column, dtype: DataType) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def lenient_integer(col: Column, dtype: DataType) -> Column:
+    """Bigint, or null; a number with a fraction is truncated."""
+    if isinstance(dtype, IntegralType):
+        return col.cast("bigint")
+    return lenient_number(col, dtype).try_cast("bigint")
+
+
 def decode_year(col: Column, dtype: DataType) -> Column:
     """Calendar year from a plain year or from a provider's member code.
 

@@ -70,41 +70,57 @@ def _position(df: DataFrame, order_by: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
-def _range_bounds(
-    df: DataFrame, order_by: Sequence[str], total: int, buckets: int
-) -> list[Column]:
-    """Lower bounds of all ranges but the first, from a hash-chosen sample."""
+def _range_bounds(df: DataFrame, order_by: Sequence[str], total: int, buckets: int) -> list[str]:
+    """Lower bounds of all ranges but the first, as SQL, from a hash-chosen sample.
+
+    The sample holds some 32 keys per range and is the only thing that comes
+    to the driver; a frequent key is in it once.
+    """
     target = buckets * _SAMPLE_PER_BUCKET
     modulus = max(1, total // target)
-    position = _position(df, order_by)
     sample = (
         df.select(*order_by)
         .filter(F.pmod(F.xxhash64(*order_by), F.lit(modulus)) == 0)
-        .select(position.alias("p"))
+        .select(_position(df, order_by).alias("p"))
         .distinct()
         .limit(4 * target)
         .orderBy("p")
     )
-    points = sample.collect()
-    step = max(1, len(points) // buckets)
     dtype = sample.schema["p"].dataType
-    return [_literal(points[i]["p"], dtype) for i in range(step, len(points), step)][: buckets - 1]
+    points = sample.select(_as_text(F.col("p"), dtype).alias("p")).collect()
+    step = max(1, len(points) // buckets)
+    chosen = points[step::step][: buckets - 1]
+    return [_literal(point["p"], dtype) for point in chosen]
 
 
-def _literal(value: Any, dtype: DataType) -> Column:
-    if isinstance(dtype, StructType) and isinstance(value, Row):
+def _as_text(col: Column, dtype: DataType) -> Column:
+    """The same value with every leaf as text."""
+    if isinstance(dtype, StructType):
         return F.struct(
-            *[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)]
+            *[_as_text(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
         )
-    return F.lit(value).cast(dtype)
+    return col.cast("string")
+
+
+def _literal(value: Any, dtype: DataType) -> str:
+    """SQL for a value read with ``_as_text``."""
+    if isinstance(dtype, StructType) and isinstance(value, Row):
+        fields = [
+            f"'{f.name}', {_literal(v, f.dataType)}" for v, f in zip(value, dtype.fields)
+        ]
+        return f"named_struct({', '.join(fields)})"
+    if value is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{quoted}' AS {dtype.simpleString()})"
 
 
-def _bucket_of(position: Column, bounds: list[Column]) -> Column:
+def _bucket_of(position: Column, bounds: list[str]) -> Column:
     """How many bounds are not above the position, by bisection over the sorted bounds."""
     if not bounds:
         return F.lit(0)
     n = len(bounds)
-    table = F.array(*bounds)
+    table = F.expr(f"array({', '.join(bounds)})")
     steps = [F.lit(1 << i) for i in reversed(range(n.bit_length()))]
 
     def advance(found: Column, step: Column) -> Column:

@@ -22,6 +22,7 @@ from clinicmart.schema import (
     OPTIONAL_FACT_KEYS,
     REQUIRED_FACT_KEYS,
     STATE_FLAGS,
+    WAIT_COUNT,
     WIDE_COLUMNS,
 )
 
@@ -197,6 +198,20 @@ def campaign_fact(
     return joined.select(*CAMPAIGN_FACT_COLUMNS)
 
 
+def summarise(star: Star) -> Star:
+    """The star with its fact summed up per combination of keys.
+
+    Flags, counts and waits are sums, with the number of waits beside them.
+    Slices give the same figures from it as from the fact, so a set of charts
+    over one large fact needs a single scan: store the summary and slice that.
+    """
+    measures_ = ("conteoFicha", *STATE_FLAGS, "tiempoEsperaMin")
+    summed = star.fact.groupBy(*FACT_KEYS).agg(
+        *[F.sum(c).alias(c) for c in measures_], F.count("tiempoEsperaMin").alias(WAIT_COUNT)
+    )
+    return Star(star.dims, summed)
+
+
 # ------------------------------------------------------------- wide and checks
 
 
@@ -221,8 +236,12 @@ def star_wide(
     """The fact with its descriptions, base of all slices.
 
     ``years`` restricts the scan, ``extra`` names further fact columns to keep.
+    A summarised fact has a count of waits but no ages.
     """
     fact = fact_of_years(star, years)
+    wanted = list(WIDE_COLUMNS)
+    if WAIT_COUNT in fact.columns:
+        wanted = [c for c in wanted if c != "edad_aprox"] + [WAIT_COUNT]
     dims = star.dims
     return (
         fact.join(dims.calendar.select("fecha_key", "fecha", "anio", "mes", "nombre_mes"), "fecha_key")
@@ -236,7 +255,7 @@ def star_wide(
         .join(dims.channel, "canal_key")
         .join(dims.state, "estado_key")
         .join(dims.context.select("contexto_key", "valor_cepal"), "contexto_key", "left")
-        .select(*WIDE_COLUMNS, *extra)
+        .select(*wanted, *extra)
     )
 
 

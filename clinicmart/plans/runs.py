@@ -1,4 +1,4 @@
-"""The two batch runs: clean tier and star.
+"""The batch runs: landing, clean tier, star, and the acceptance check.
 
 Each table is written, read back and then checked, so that a check does not
 compute the table a second time. A run that fails a rule raises, and nothing
@@ -7,21 +7,43 @@ that builds on its tables is started.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from clinicmart.operators import quality
-from clinicmart.plans import gold, silver
+from clinicmart.plans import extract, gold, silver, views
+from clinicmart.sources import feed, landing
+from clinicmart.sources.landing import INGEST_ORDER
 from clinicmart.sources.store import TierStore
 
 # Names of the stored tables.
 TICKETS, CAMPAIGNS, INDICATOR = "fichas_silver", "campanas_silver", "cepal_silver"
 SUMMARY = "resumen_limpieza"
-CENTER_TABLE = "DimCentroSalud"
+LANDED_TICKETS, LANDED_CAMPAIGNS = "fichas_bronze.csv", "campanas_bronze.csv"
+LANDED_FEED = "cepal_bronze.json"
 CAMPAIGN_FACT, CAMPAIGN_TYPES = "FactCampanas", "DimTipoCampana"
 
 
+def land_extracts(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Write the two relational extracts as CSV. The feed is landed by its provider."""
+    landing.write_csv(extract.extract_tickets(tables), f"{folder}/{LANDED_TICKETS}")
+    landing.write_csv(extract.extract_campaigns(tables), f"{folder}/{LANDED_CAMPAIGNS}")
+
+
+def clean_landed(spark: SparkSession, store: TierStore, folder: str, as_of: Column) -> dict[str, DataFrame]:
+    """Clean tier from landed files, first rows first."""
+    order = [INGEST_ORDER]
+    return build_clean_tier(
+        store,
+        landing.read_csv(spark, f"{folder}/{LANDED_TICKETS}", file_order=True),
+        landing.read_csv(spark, f"{folder}/{LANDED_CAMPAIGNS}", file_order=True),
+        feed.read_feed(spark, f"{folder}/{LANDED_FEED}"),
+        as_of,
+        order, order, order,
+    )
+
+
 def build_clean_tier(
     store: TierStore,
     tickets: DataFrame,
@@ -35,8 +57,8 @@ def build_clean_tier(
     """Clean, store, check and summarise the three source tables."""
     clean = store.write_all(
         {
-            TICKETS: silver.clean_tickets(tickets, as_of, ticket_order),
-            CAMPAIGNS: silver.clean_campaigns(campaigns, campaign_order),
+            TICKETS: silver.clean_tickets(tickets, as_of, ticket_order).drop(INGEST_ORDER),
+            CAMPAIGNS: silver.clean_campaigns(campaigns, campaign_order).drop(INGEST_ORDER),
             INDICATOR: silver.clean_indicator(records, record_order),
         }
     )
@@ -81,3 +103,27 @@ def load_star(store: TierStore) -> gold.Star:
     names = [table for table, _ in gold.FACT_KEYS.values()]
     dims = gold.Dimensions.from_tables({n: store.read(n) for n in names})
     return gold.Star(dims, store.read("FactAtenciones"))
+
+
+def export_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Write tables as CSV, one folder per table."""
+    for name, df in tables.items():
+        landing.write_csv(df, f"{folder}/{name}.csv")
+
+
+def accept(store: TierStore) -> DataFrame:
+    """Final check of a stored run; returns the rows per table and view.
+
+    A missing table, a repeated or missing key and a key without its
+    dimension row all raise.
+    """
+    clean = {name: store.read(name) for name in (TICKETS, CAMPAIGNS, INDICATOR)}
+    star = load_star(store)
+    quality.enforce(
+        quality.merge_reports(
+            silver.silver_rules(clean[TICKETS], clean[CAMPAIGNS], clean[INDICATOR]),
+            gold.gold_rules(star),
+        )
+    )
+    named = {name: build(star) for name, build in views.VIEWS.items()}
+    return quality.row_counts({**clean, **star.tables(), **named})

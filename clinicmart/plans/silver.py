@@ -25,6 +25,7 @@ def clean_columns(df: DataFrame, rules: CleanRules) -> DataFrame:
     typed = {
         **{c: parse.lenient_timestamp(F.col(c)) for c in rows.present(df, rules.timestamps)},
         **{c: parse.lenient_number(F.col(c), types[c]) for c in rows.present(df, rules.numbers)},
+        **{c: parse.lenient_integer(F.col(c), types[c]) for c in rows.present(df, rules.integers)},
         **{c: text.normalize_text(F.col(c)) for c in rows.present(df, rules.text)},
         **{c: text.clean_url(F.col(c)) for c in rows.present(df, rules.urls)},
     }

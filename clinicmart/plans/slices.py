@@ -19,6 +19,7 @@ from clinicmart.schema import (
     DRILL_DISPLAY,
     NOSHOW_BANDS,
     SATURATION_BANDS,
+    WAIT_COUNT,
 )
 
 
@@ -95,6 +96,20 @@ def _counts(fichas: str, attended: str, absent: str, cancelled: str) -> list[Col
     ]
 
 
+def _attended() -> Column:
+    """Attended ticket, or group of attended tickets in a summarised fact."""
+    return F.col("esAtendida") > 0
+
+
+def _mean_wait(df: DataFrame, test: Column | None = None) -> Column:
+    """Mean of the known waits, from tickets or from summarised tickets."""
+    wait = F.col("tiempoEsperaMin").cast("double")
+    number = F.col(WAIT_COUNT) if WAIT_COUNT in df.columns else wait.isNotNull().cast("bigint")
+    if test is not None:
+        wait, number = F.when(test, wait), F.when(test, number)
+    return F.sum(wait) / F.nullif(F.sum(number), F.lit(0))
+
+
 def _mean_cents(column: str) -> Column:
     """Mean of two-decimal values; the sum is exact, so the order of rows is no matter."""
     return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
@@ -122,7 +137,7 @@ def kpi_row(sliced: DataFrame, saturation: DataFrame) -> DataFrame:
             )
         ],
         F.coalesce(F.sum(closed), F.lit(0)).alias("total_cerradas"),
-        F.avg(F.when(F.col("esAtendida") == 1, F.col("tiempoEsperaMin"))).alias("espera"),
+        _mean_wait(sliced, _attended()).alias("espera"),
     )
     zero = F.lit(0.0)
     no_show = measures.rate_float(F.col("total_ausentes"), F.col("total_cerradas"), 2)
@@ -200,7 +215,7 @@ def _drill(sliced: DataFrame, fixed: str, value: str, by: str) -> DataFrame:
     chosen = sliced.filter(F.col(fixed) == F.lit(value))
     totals = _grouped(chosen, by).agg(
         *_counts("total_fichas", "atendidas", "ausentes", "canceladas"),
-        measures.round_half_even(F.avg("tiempoEsperaMin"), 1).alias("espera_prom"),
+        measures.round_half_even(_mean_wait(sliced), 1).alias("espera_prom"),
     )
     return totals.withColumns(
         {
@@ -247,9 +262,9 @@ def saturation_by_center(saturation: DataFrame) -> DataFrame:
 
 def wait_by_specialty(sliced: DataFrame) -> DataFrame:
     """Mean wait of attended tickets per specialty, longest first."""
-    attended = sliced.filter(F.col("esAtendida") == 1)
+    attended = sliced.filter(_attended())
     means = _grouped(attended, "especialidad").agg(
-        measures.round_half_even(F.avg("tiempoEsperaMin"), 1).alias("espera_promedio")
+        measures.round_half_even(_mean_wait(sliced), 1).alias("espera_promedio")
     )
     return means.orderBy(F.desc_nulls_last("espera_promedio"), "especialidad")
 
@@ -276,7 +291,7 @@ def detail_header(sliced: DataFrame) -> DataFrame:
     column; grouping first leaves only the combinations to be counted.
     """
     combinations = sliced.groupBy("anio", "centroSalud", "especialidad").agg(
-        F.count("*").alias("n")
+        _total("conteoFicha").alias("n")
     )
     return combinations.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_registros"),

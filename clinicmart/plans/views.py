@@ -78,7 +78,11 @@ def daily_saturation(star: Star, years: Sequence[int] | None = None) -> DataFram
 
     ``years`` restricts the scan of the fact.
     """
-    groups = fact_of_years(star, years).groupBy("fecha_key", "centro_key").agg(F.count("*").alias("n"))
+    groups = (
+        fact_of_years(star, years)
+        .groupBy("fecha_key", "centro_key")
+        .agg(F.sum("conteoFicha").alias("n"))
+    )
     described = groups.join(
         star.dims.calendar.select("fecha_key", "fecha", "anio", "mes", "nombre_mes"), "fecha_key"
     ).join(

@@ -112,6 +112,7 @@ class CleanRules:
     text: tuple[str, ...] = ()
     timestamps: tuple[str, ...] = ()
     numbers: tuple[str, ...] = ()
+    integers: tuple[str, ...] = ()
     fill: tuple[str, ...] = ()
     replace: tuple[tuple[str, tuple[tuple[str, str], ...]], ...] = ()
     urls: tuple[str, ...] = ()
@@ -122,6 +123,7 @@ TICKET_RULES = CleanRules(
     required=("codigoFicha", "fechaHoraReserva", "estado", "centroSalud"),
     timestamps=("fechaHoraReserva", "fechaHoraAtencion", "fechaNacimiento"),
     numbers=("tiempoEsperaMin",),
+    integers=("capacidadDiaria",),
     text=(
         "estado", "prioridad", "canalReserva", "motivoReprogramacion",
         "resultadoAtencion", "indicaciones", "diagnostico", "nombrePaciente",
@@ -149,6 +151,9 @@ CAMPAIGN_RULES = CleanRules(
 
 CENTER_TEXT = ("centroSalud", "ciudad", "departamento", "area")
 
+# Number of waits behind a sum of waits, in a summarised fact.
+WAIT_COUNT = "con_espera"
+
 # Fact key -> (dimension table, its key). The yearly context is optional.
 FACT_KEYS = {
     "fecha_key": ("DimTiempo", "fecha_key"),

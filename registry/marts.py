@@ -60,6 +60,12 @@ def campaign_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(spark, sf_dir).read(runs.CAMPAIGN_TYPES)
 
 
+def summary(spark: SparkSession, sf_dir: str) -> gold.Star:
+    """The star with the stored summary of its fact."""
+    once(build_summary, spark, sf_dir)
+    return gold.Star(star(spark, sf_dir).dims, store(spark, sf_dir).read(SUMMARY))
+
+
 def build_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(spark, sf_dir).write(runs.TICKETS, clean_tickets(spark, sf_dir))
 
@@ -84,6 +90,12 @@ def build_star(spark: SparkSession, sf_dir: str) -> gold.Star:
     )
 
 
+def build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summed = gold.summarise(star(spark, sf_dir)).fact
+    return store(spark, sf_dir).write(SUMMARY, summed)
+
+
+SUMMARY = "ResumenAtenciones"
 _built: set[tuple[str, str, str]] = set()
 
 

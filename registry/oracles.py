@@ -526,6 +526,7 @@ UNION ALL SELECT DISTINCT 'especialidad', especialidad FROM wide"""
     q["kpi_row_chosen"] = (
         f"WITH {_kpi(_CHOSEN, 'anio IN (1996, 1997, 1999)')} SELECT * FROM kpi"
     )
+    q["kpi_row_summary"] = q["kpi_row_chosen"]
     q["kpi_bands"] = f"""
 WITH {_kpi('TRUE', 'TRUE')}
 SELECT tasa_ausentismo,
@@ -552,6 +553,7 @@ WITH {_WIDE}, g AS (SELECT especialidad, {_sum('conteoFicha')} AS total_fichas,
 SELECT *, {_rate('total_ausentes', 'total_fichas', 2)} AS tasa_ausentismo_pct FROM g"""
     q["drill_specialty"] = _drill("especialidad = 'BUILDING'", "centroSalud")
     q["drill_center"] = _drill("\"centroSalud\" = 'NATION_7'", "especialidad")
+    q["drill_center_summary"] = q["drill_center"]
     q["drill_display"] = f"""
 SELECT especialidad AS "Especialidad", total_fichas AS "Fichas", atendidas AS "Atendidas",
        ausentes AS "Ausentes", canceladas AS "Canceladas", tasa_atencion AS "Atención %",

@@ -428,6 +428,20 @@ def kpi_bands(spark, sf_dir):
     return slices.kpi_bands(row)
 
 
+@register
+def kpi_row_summary(spark, sf_dir):
+    """A6 over a choice, from the stored summary of the fact."""
+    star = marts.summary(spark, sf_dir)
+    return slices.kpi_row(slices.slice_star(star, SOME), slices.star_saturation(star, SOME))
+
+
+@register
+def drill_center_summary(spark, sf_dir):
+    """A12 from the stored summary of the fact."""
+    star = marts.summary(spark, sf_dir)
+    return slices.drill_center(slices.slice_star(star, slices.Selection()), DRILL_CENTER)
+
+
 @register
 def slice_monthly(spark, sf_dir):
     """A7."""

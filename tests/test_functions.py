@@ -70,6 +70,16 @@ def test_lenient_number(column):
     assert got == [1.5, None, None]
 
 
+def test_lenient_integer(column):
+    got = column(
+        ["120", " 90.0", "x", None], lambda df: parse.lenient_integer(F.col("v"), StringType()),
+        "v string",
+    )
+    assert got == [120, 90, None, None]
+    got = column([5, None], lambda df: parse.lenient_integer(F.col("v"), LongType()), "v bigint")
+    assert got == [5, None]
+
+
 def test_lenient_timestamp(column):
     values = ["2025-12-28", "2025-12-28 10:30:00", "2025-12-28T10:30:00.5", "ayer", "", None]
     got = column(values, lambda df: parse.lenient_timestamp(F.col("v")), "v string")

@@ -63,7 +63,7 @@ def numbered_input(spark):
     """Skewed on the first column, with nulls, unique over both."""
     random.seed(11)
     data = [("hot", i) for i in range(400)]
-    data += [(random.choice(["a", "É", "z", None, ""]), 1000 + i) for i in range(600)]
+    data += [(random.choice(["a'\\n", "É\n", "z", None, ""]), 1000 + i) for i in range(600)]
     random.shuffle(data)
     return data, spark.createDataFrame(data, "a string, b bigint").repartition(7)
 

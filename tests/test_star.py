@@ -428,3 +428,67 @@ def test_extracts(spark):
 def test_silver_module_has_rules_for_all_tables():
     assert silver.TICKET_RULES.key == ("codigoFicha",)
     assert silver.CAMPAIGN_RULES.key == ("codigoCampana",)
+
+
+def test_summary_gives_the_same_slices(spark, star, tmp_path):
+    summed = gold.summarise(star)
+    stored = gold.Star(star.dims, TierStore(spark, str(tmp_path)).write("s", summed.fact))
+    assert stored.fact.count() < star.fact.count()
+    for selection in (Selection(), Selection(years=[2025]), Selection(centers=[])):
+        wide, small = slices.slice_star(star, selection), slices.slice_star(stored, selection)
+        for function in (
+            slices.monthly, slices.state_distribution, slices.channel_distribution,
+            slices.noshow, slices.wait_by_specialty, slices.demand_and_context,
+            slices.detail_header, slices.filter_options,
+            lambda df: slices.drill_specialty(df, "MEDICINA"),
+            lambda df: slices.drill_center(df, "CENTRO B"),
+        ):
+            assert table(function(small), "*") == table(function(wide), "*")
+        assert kpis(stored, selection)[1] == kpis(star, selection)[1]
+
+
+def test_from_landed_files_to_acceptance(spark, tmp_path):
+    from fixtures import CAMPAIGN_SCHEMA, CAMPAIGNS, TICKET_SCHEMA, TICKETS
+
+    from clinicmart.sources import landing
+
+    folder = str(tmp_path / "bronze")
+    for name, rows, schema in (
+        (runs.LANDED_TICKETS, TICKETS, TICKET_SCHEMA),
+        (runs.LANDED_CAMPAIGNS, CAMPAIGNS, CAMPAIGN_SCHEMA),
+    ):
+        # One file, so that the order of rows in the file is the order of arrival.
+        ordered = spark.createDataFrame(rows, schema).coalesce(1).sortWithinPartitions("orden")
+        landing.write_csv(ordered.drop("orden"), f"{folder}/{name}")
+    records = [{"dim_1": d, "value": v, "iso3": c} for _, d, v, c in RECORDS]
+    (tmp_path / "bronze" / runs.LANDED_FEED).write_text(json.dumps({"body": {"data": records}}))
+
+    store = TierStore(spark, str(tmp_path / "tiers"))
+    clean = runs.clean_landed(spark, store, folder, F.lit(AS_OF))
+    assert "_ingest_order" not in clean[runs.TICKETS].columns
+    centers = spark.createDataFrame(CENTERS, CENTER_SCHEMA)
+    star = runs.build_star(store, clean[runs.TICKETS], centers, clean[runs.INDICATOR])
+    got = dict(table(runs.accept(store), "*"))
+    assert got[runs.TICKETS] == got["FactAtenciones"] == 9
+    assert got["vw_kpis_generales"] == 1 and got["vw_saturacion_diaria"] == 4
+
+    runs.export_csv(star.tables(), str(tmp_path / "gold"))
+    back = landing.read_csv(spark, str(tmp_path / "gold" / "FactAtenciones.csv"))
+    assert back.columns == list(FACT_COLUMNS) and back.count() == 9
+
+
+def test_acceptance_needs_every_table(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)path"):
+        runs.accept(TierStore(spark, str(tmp_path)))
+
+
+def test_extracts_are_landed(spark, tmp_path):
+    from clinicmart.sources import landing
+    from registry import bindings
+
+    sf_dir = "/root/testdata/sf0.001"
+    tables = bindings.ticket_sources(spark, sf_dir)
+    tables["CampanaMedica"] = bindings.campaign_sources(spark, sf_dir)["CampanaMedica"]
+    runs.land_extracts(tables, str(tmp_path))
+    back = landing.read_csv(spark, str(tmp_path / runs.LANDED_TICKETS))
+    assert back.count() == 1500 and len(back.columns) == 24
