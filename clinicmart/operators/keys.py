@@ -4,128 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from math import ceil
-from typing import Any
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
 
-ROWS_PER_BUCKET = 5_000_000
-MAX_BUCKETS = 4_096
-_SAMPLE_PER_BUCKET = 32
+from clinicmart.sources.store import work_root
+
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 20_000
+
+# monotonically_increasing_id puts the task number above 33 bits of row number.
+_ROW_BITS = 33
 
 
 def dense_key(
     df: DataFrame,
     order_by: Sequence[str],
     name: str,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
+    rows_per_range: int = ROWS_PER_RANGE,
+    max_ranges: int = MAX_RANGES,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows 1..n in ascending order, nulls last.
 
-    ``order_by`` must be a total order. Up to ``rows_per_bucket`` rows are
-    numbered in one window. Beyond that the rows are split by value ranges:
-    each range is numbered on its own and shifted by the number of rows in
-    the ranges before it. The result is the same for any choice of ranges,
-    so a sample is good enough to place them. The full rows are shuffled once.
+    ``order_by`` must be a total order. Up to ``rows_per_range`` rows are
+    numbered in one window. More rows are split into ranges of the whole order
+    and sorted (one shuffle; a value of the first column that is very frequent
+    spreads over several ranges), stored below the shared work folder with
+    their place in the range, and numbered on reading: rows in the ranges
+    before, plus the place. Storing them fixes the ranges, so a lost executor
+    cannot change a number.
 
-    Counting and sampling read only the order columns, of ``probe`` if given:
-    a frame with the same rows that is cheaper to read, such as the stored
-    table ``df`` is derived from.
+    ``probe`` may be a frame with as many rows that is cheaper to count, such
+    as the stored table ``df`` is derived from.
     """
-    position = _position(df, order_by)
-    keys = (df if probe is None else probe).select(*order_by)
-    total = keys.count()
-    if total <= rows_per_bucket:
-        rank = F.row_number().over(Window.orderBy(position))
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    total = (df if probe is None else probe).count()
+    if total <= rows_per_range:
+        rank = F.row_number().over(Window.orderBy(*order))
         return df.withColumn(name, rank.cast("bigint"))
 
-    buckets = min(max_buckets, ceil(total / rows_per_bucket))
-    bucket = _bucket_of(position, _range_bounds(keys, order_by, total, buckets))
-    bucketed = df.withColumn("_bucket", bucket)
+    ranges = min(max_ranges, ceil(total / rows_per_range))
+    path = f"{work_root(df.sparkSession)}/ranges/{uuid4().hex}"
+    place_ranges(df, order_by, ranges).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path)
 
-    sizes = keys.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+    in_range = placed.groupBy("_range").agg(F.max("_place").alias("_last"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = in_range.select(
+        "_range", F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_start")
     )
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(position))
-    # At most max_buckets rows by construction, hence safe to broadcast.
+    # One row per range, so at most max_ranges rows.
     return (
-        bucketed.withColumn("_rank", rank)
-        .join(F.broadcast(starts), "_bucket")
-        .withColumn(name, (F.col("_start") + F.col("_rank")).cast("bigint"))
-        .drop("_bucket", "_rank", "_start")
+        placed.join(F.broadcast(starts), "_range")
+        .withColumn(name, F.col("_start") + F.col("_place") + 1)
+        .drop("_range", "_place", "_start")
     )
 
 
-def _position(df: DataFrame, order_by: Sequence[str]) -> Column:
-    """One comparable value per row: (is null, value) for each order column."""
-    fields: list[Column] = []
-    for i, column in enumerate(order_by):
-        fields.append(F.col(column).isNull().alias(f"n{i}"))
-        fields.append(F.col(column).alias(f"k{i}"))
-    return F.struct(*fields)
-
-
-def _range_bounds(df: DataFrame, order_by: Sequence[str], total: int, buckets: int) -> list[str]:
-    """Lower bounds of all ranges but the first, as SQL, from a hash-chosen sample.
-
-    The sample holds some 32 keys per range and is the only thing that comes
-    to the driver; a frequent key is in it once.
-    """
-    target = buckets * _SAMPLE_PER_BUCKET
-    modulus = max(1, total // target)
-    sample = (
-        df.select(*order_by)
-        .filter(F.pmod(F.xxhash64(*order_by), F.lit(modulus)) == 0)
-        .select(_position(df, order_by).alias("p"))
-        .distinct()
-        .limit(4 * target)
-        .orderBy("p")
-    )
-    dtype = sample.schema["p"].dataType
-    points = sample.select(_as_text(F.col("p"), dtype).alias("p")).collect()
-    step = max(1, len(points) // buckets)
-    chosen = points[step::step][: buckets - 1]
-    return [_literal(point["p"], dtype) for point in chosen]
-
-
-def _as_text(col: Column, dtype: DataType) -> Column:
-    """The same value with every leaf as text."""
-    if isinstance(dtype, StructType):
-        return F.struct(
-            *[_as_text(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
-        )
-    return col.cast("string")
-
-
-def _literal(value: Any, dtype: DataType) -> str:
-    """SQL for a value read with ``_as_text``."""
-    if isinstance(dtype, StructType) and isinstance(value, Row):
-        fields = [
-            f"'{f.name}', {_literal(v, f.dataType)}" for v, f in zip(value, dtype.fields)
-        ]
-        return f"named_struct({', '.join(fields)})"
-    if value is None:
-        return f"CAST(NULL AS {dtype.simpleString()})"
-    quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{quoted}' AS {dtype.simpleString()})"
-
-
-def _bucket_of(position: Column, bounds: list[str]) -> Column:
-    """How many bounds are not above the position, by bisection over the sorted bounds."""
-    if not bounds:
-        return F.lit(0)
-    n = len(bounds)
-    table = F.expr(f"array({', '.join(bounds)})")
-    steps = [F.lit(1 << i) for i in reversed(range(n.bit_length()))]
-
-    def advance(found: Column, step: Column) -> Column:
-        ahead = found + step
-        fits = (ahead <= n) & (F.try_element_at(table, ahead) <= position)
-        return F.when(fits, ahead).otherwise(found)
-
-    return F.aggregate(F.array(*steps), F.lit(0), advance)
+def place_ranges(df: DataFrame, order_by: Sequence[str], ranges: int) -> DataFrame:
+    """Sort into ranges of the order; adds the range and the row's place in it, from 0."""
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    numbered = ordered.withColumn("_id", F.monotonically_increasing_id())
+    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return numbered.withColumns(
+        {"_range": F.shiftright("_id", _ROW_BITS), "_place": row}
+    ).drop("_id")

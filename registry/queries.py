@@ -211,7 +211,7 @@ def dense_key_ranges(spark, sf_dir):
     orders = b.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
     total = orders.count()
     return keys.dense_key(
-        orders, ["o_orderdate", "o_orderkey"], "clave", rows_per_bucket=max(1, total // 16)
+        orders, ["o_orderdate", "o_orderkey"], "clave", rows_per_range=max(1, total // 16)
     )
 
 

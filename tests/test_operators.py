@@ -72,37 +72,42 @@ def expected_order(data):
     return sorted(data, key=lambda r: (r[0] is None, r[0] or "", r[1]))
 
 
-@pytest.mark.parametrize("per_bucket", [10_000, 100, 7, 1])
-def test_dense_key_is_a_global_row_number(numbered_input, per_bucket):
+@pytest.mark.parametrize("per_range", [10_000, 100, 7, 1])
+def test_dense_key_is_a_global_row_number(numbered_input, per_range):
     data, df = numbered_input
-    got = keys.dense_key(df, ["a", "b"], "k", rows_per_bucket=per_bucket, max_buckets=64)
+    got = keys.dense_key(df, ["a", "b"], "k", rows_per_range=per_range, max_ranges=64)
     assert [(r.a, r.b) for r in got.orderBy("k").collect()] == expected_order(data)
     assert sorted(r.k for r in got.collect()) == list(range(1, len(data) + 1))
 
 
 def test_dense_key_splits_a_hot_value_over_ranges(numbered_input):
     _, df = numbered_input
-    total = df.count()
-    bounds = keys._range_bounds(df, ["a", "b"], total, 20)
-    bucket = keys._bucket_of(keys._position(df, ["a", "b"]), bounds)
-    hot = df.filter("a = 'hot'").select(bucket.alias("x")).distinct().count()
-    largest = df.groupBy(bucket.alias("x")).count().agg(F.max("count")).first()[0]
-    assert hot >= 5 and largest < total / 5
+    placed = keys.place_ranges(df, ["a", "b"], 20)
+    hot = placed.filter("a = 'hot'").select("_range").distinct().count()
+    largest = placed.groupBy("_range").count().agg(F.max("count")).first()[0]
+    assert hot >= 5 and largest < df.count() / 5
 
 
 def test_dense_key_over_ranges_needs_no_single_task(numbered_input):
     _, df = numbered_input
-    got = keys.dense_key(df, ["a", "b"], "k", rows_per_bucket=100)
+    got = keys.dense_key(df, ["a", "b"], "k", rows_per_range=100)
     plan = plan_of(got)
     # The only single partition is the running sum over one row per range.
     assert plan.count("Exchange SinglePartition") == 1
-    assert "_size" in plan.split("Exchange SinglePartition")[0]
+    below = plan.split("Exchange SinglePartition")[1]
+    assert "functions=[max(_place" in below.split("FileScan")[0]
+
+
+def test_dense_key_is_the_same_on_every_run(numbered_input):
+    _, df = numbered_input
+    got = keys.dense_key(df, ["a", "b"], "k", rows_per_range=50)
+    assert as_set(got) == as_set(got)
 
 
 def test_dense_key_of_nested_and_time_columns(spark):
     data = [(Row(file=f"f{i % 3}", row=i), datetime(2020, 1, 1 + i % 5)) for i in range(60)]
     df = spark.createDataFrame(data, "o struct<file: string, row: bigint>, t timestamp_ntz")
-    got = keys.dense_key(df, ["t", "o"], "k", rows_per_bucket=5).orderBy("k").collect()
+    got = keys.dense_key(df, ["t", "o"], "k", rows_per_range=5).orderBy("k").collect()
     assert [(r.t, r.o.file, r.o.row) for r in got] == sorted(
         (t, o.file, o.row) for o, t in data
     )
@@ -115,7 +120,7 @@ def test_dense_key_of_nothing(spark):
 def test_dense_key_probe(numbered_input):
     data, df = numbered_input
     wide = df.withColumn("extra", F.col("b") * 2)
-    got = keys.dense_key(wide, ["a", "b"], "k", rows_per_bucket=100, probe=df)
+    got = keys.dense_key(wide, ["a", "b"], "k", rows_per_range=100, probe=df)
     assert [(r.a, r.b) for r in got.orderBy("k").collect()] == expected_order(data)
 
 
