@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -46,7 +45,6 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     # One small job, so that the first figure does not include the start of Spark.

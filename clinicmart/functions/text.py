@@ -15,8 +15,17 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def strip(col: Column) -> Column:
-    """Remove white space of any kind at both ends."""
-    return F.btrim(col.cast("string"), F.lit(WHITESPACE))
+    """Remove white space of any kind at both ends.
+
+    Trimming against a set of characters costs several times a comparison, and
+    most values need none: those that begin and end with a visible ASCII
+    character ("!" to "~") are passed through.
+    """
+    text = col.cast("string")
+    last = F.right(text, F.lit(1))
+    low, high = F.lit("!"), F.lit("\x7f")
+    clean = (text >= low) & (text < high) & (last >= low) & (last < high)
+    return F.when(clean, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def normalize_text(col: Column) -> Column:

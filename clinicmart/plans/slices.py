@@ -73,7 +73,8 @@ def no_rows(sliced: DataFrame) -> bool:
 
 def filter_options(wide: DataFrame) -> DataFrame:
     """Values on offer per filter: ``(filtro, valor)``, from one scan."""
-    long = wide.selectExpr(
+    known = wide.select("anio", "centroSalud", "especialidad").distinct()
+    long = known.selectExpr(
         "stack(3, 'anio', cast(anio as string), 'centroSalud', centroSalud, "
         "'especialidad', especialidad) as (filtro, valor)"
     )

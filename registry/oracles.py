@@ -443,6 +443,8 @@ FROM (SELECT year(l_shipdate) AS y, l_returnflag AS f, sum(l_quantity) AS total
       FROM lineitem GROUP BY 1, 2)
 WHERE f = CASE WHEN y % 2 = 1 THEN 'N' ELSE 'A' END"""
 
+    q["feed_indicator"] = q["silver_indicator"]
+
     q["dim_calendar"] = _CALENDAR
     q["dim_center"] = _CENTERS
     q["dim_specialty"] = _dim("especialidad", "especialidad_key")
@@ -514,6 +516,12 @@ SELECT anio, mes, nombre_mes, count(*) AS total_fichas, {_sum('esAtendida')} AS
        max(valor_cepal) AS valor_cepal
 FROM wide GROUP BY 1, 2, 3"""
 
+    q["views_by_sql"] = f"""
+WITH {_WIDE}, months AS (SELECT anio, mes, count(*) AS n FROM wide GROUP BY 1, 2)
+SELECT w.anio, "centroSalud", nombre_mes, count(*) AS fichas, max(n) AS fichas_mes
+FROM wide w JOIN months m ON w.anio = m.anio AND w.mes = m.mes
+GROUP BY w.anio, "centroSalud", nombre_mes"""
+
     q["slice_filter"] = f"""
 WITH {_WIDE} SELECT {_WIDE_SELECT} FROM wide
 WHERE {_CHOSEN} AND "centroSalud" IN ('NATION_1', 'NATION_4', 'NATION_7')"""
@@ -587,6 +595,12 @@ SELECT fecha, "centroSalud", especialidad, estado, "canalReserva", "tiempoEspera
 FROM wide ORDER BY fecha DESC"""
 
     q["profile_nulls"] = f"WITH {_SILVER}\n{_nulls(_TICKET_SILVER_COLUMNS)}"
+    pairs = " || ',' || ".join(
+        f"""'"{c}":' || (count(*) - count("{c}"))""" for c in _TICKET_SILVER_COLUMNS
+    )
+    q["summary_document"] = f"""
+WITH {_SILVER}
+SELECT count(*) AS filas_fichas, '{{' || {pairs} || '}}' AS nulos_fichas FROM silver"""
     q["check_unique"] = """
 SELECT 'lineas unicas' AS regla, 'l_orderkey,l_linenumber' AS columna,
        count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS violaciones

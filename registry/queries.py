@@ -244,6 +244,18 @@ def top_rows(spark, sf_dir):
     return rows.preview(saturation, 5, [F.desc("total_fichas_dia"), "fecha", "centroSalud"])
 
 
+@register
+def feed_indicator(spark, sf_dir):
+    """IO5, B3: records landed as one nested document, read back and cleaned."""
+    path = f"{marts.store(spark, sf_dir).root}/feed/{uuid4().hex}"
+    # One record per year and flag: a feed is small, however large the table behind it.
+    record = F.struct("orden", "dim_29117", "value", "iso3")
+    listed = b.repeated_records(spark, sf_dir).agg(F.sort_array(F.collect_list(record)).alias("data"))
+    listed.select(F.to_json(F.struct(F.struct("data").alias("body"))).alias("value")).write.text(path)
+    records = feed.read_feed(spark, path)
+    return silver.clean_indicator(records, [landing.INGEST_ORDER])
+
+
 # -------------------------------------------------------------------- extracts
 
 
@@ -385,6 +397,18 @@ def monthly_series(spark, sf_dir):
     return views.monthly_series(marts.star(spark, sf_dir))
 
 
+@register
+def views_by_sql(spark, sf_dir):
+    """IO9, IO11: registered views answer SQL."""
+    views.register_views(marts.star(spark, sf_dir))
+    return spark.sql(
+        "SELECT s.anio, s.centroSalud, m.nombre_mes, sum(s.total_fichas_dia) AS fichas, "
+        "max(m.total_fichas) AS fichas_mes "
+        "FROM vw_saturacion_diaria s JOIN vw_serie_mensual m ON s.anio = m.anio AND s.mes = m.mes "
+        "GROUP BY s.anio, s.centroSalud, m.nombre_mes"
+    )
+
+
 # ---------------------------------------------------------------------- slices
 
 
@@ -524,6 +548,13 @@ def profile_nulls(spark, sf_dir):
     return quality.null_profile(marts.tickets(spark, sf_dir), "fichas")
 
 
+@register
+def summary_document(spark, sf_dir):
+    """IO10: rows and nulls per column as a nested document."""
+    summary = quality.null_summary({"fichas": marts.tickets(spark, sf_dir)})
+    return summary.select("filas_fichas", F.to_json("nulos_fichas").alias("nulos_fichas"))
+
+
 @register
 def check_unique(spark, sf_dir):
     """Q2: rows beyond the first of a key."""
