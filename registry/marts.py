@@ -8,6 +8,7 @@ slices scan the stored fact and never repeat the joins behind it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,8 +33,9 @@ def indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store(spark: SparkSession, sf_dir: str) -> TierStore:
-    folder = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    return TierStore(spark, f"{work_root(spark)}/{folder}")
+    path = sf_dir.rstrip("/")
+    name = f"{path.rsplit('/', 1)[-1]}-{crc32(path.encode()):08x}"
+    return TierStore(spark, f"{work_root(spark)}/{name}")
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +103,7 @@ _built: set[tuple[str, str, str]] = set()
 
 def once(build: Callable, spark: SparkSession, sf_dir: str) -> None:
     """Run a build step unless this application has already run it on the folder."""
-    done = (build.__name__, spark.sparkContext.applicationId, sf_dir)
+    done = (build.__name__, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if done not in _built:
         build(spark, sf_dir)
         _built.add(done)
