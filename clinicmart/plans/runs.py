@@ -31,7 +31,9 @@ def land_extracts(tables: Mapping[str, DataFrame], folder: str) -> None:
     landing.write_csv(extract.extract_campaigns(tables), f"{folder}/{LANDED_CAMPAIGNS}")
 
 
-def clean_landed(spark: SparkSession, store: TierStore, folder: str, as_of: Column) -> dict[str, DataFrame]:
+def clean_landed(
+    spark: SparkSession, store: TierStore, folder: str, as_of: Column
+) -> dict[str, DataFrame]:
     """Clean tier from landed files, first rows first."""
     order = [INGEST_ORDER]
     return build_clean_tier(

@@ -17,6 +17,7 @@ from clinicmart.schema import (
     YEAR_COLUMN_CANDIDATES,
     CleanRules,
 )
+from clinicmart.sources.landing import INGEST_ORDER
 
 
 def clean_columns(df: DataFrame, rules: CleanRules) -> DataFrame:
@@ -38,13 +39,21 @@ def clean_columns(df: DataFrame, rules: CleanRules) -> DataFrame:
     return df
 
 
+def _arrival(df: DataFrame, order_by: Sequence[str] | None, key: Sequence[str]) -> Sequence[str]:
+    """The stated order, else the ingest order, else none to speak of."""
+    if order_by is not None:
+        return order_by
+    return [INGEST_ORDER] if INGEST_ORDER in df.columns else key
+
+
 def clean_tickets(
-    bronze: DataFrame, as_of: Column, order_by: Sequence[str] = ("codigoFicha",)
+    bronze: DataFrame, as_of: Column, order_by: Sequence[str] | None = None
 ) -> DataFrame:
     """Clean tickets, one row per complete ticket.
 
     ``order_by`` says which of several rows of a ticket came first, by columns
-    as they came in; without an ingest order any one of equal keys is kept.
+    as they came in. By default that is the ingest order of a landed file; a
+    source that has neither must not repeat its keys.
     ``as_of`` is the day ages are counted to; state it, so that a rerun gives
     the same ages.
     """
@@ -62,25 +71,31 @@ def clean_tickets(
         )
 
     return rows.first_complete(
-        bronze, TICKET_RULES.key, TICKET_RULES.required, order_by, prepare
+        bronze,
+        TICKET_RULES.key,
+        TICKET_RULES.required,
+        _arrival(bronze, order_by, TICKET_RULES.key),
+        prepare,
     )
 
 
-def clean_campaigns(
-    bronze: DataFrame, order_by: Sequence[str] = ("codigoCampana",)
-) -> DataFrame:
-    """Clean campaigns with their length in days."""
+def clean_campaigns(bronze: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """Clean campaigns with their length in days; order as for tickets."""
 
     def prepare(df: DataFrame) -> DataFrame:
         length = dates.whole_days(F.col("fechaInicio"), F.col("fechaFin"))
         return clean_columns(df, CAMPAIGN_RULES).withColumn("duracionDias", length)
 
     return rows.first_complete(
-        bronze, CAMPAIGN_RULES.key, CAMPAIGN_RULES.required, order_by, prepare
+        bronze,
+        CAMPAIGN_RULES.key,
+        CAMPAIGN_RULES.required,
+        _arrival(bronze, order_by, CAMPAIGN_RULES.key),
+        prepare,
     )
 
 
-def clean_indicator(records: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def clean_indicator(records: DataFrame, order_by: Sequence[str] = (INGEST_ORDER,)) -> DataFrame:
     """Yearly indicator of the home country: ``anio, pais, valor_cepal``.
 
     Incomplete records and other countries go first, then the first record
