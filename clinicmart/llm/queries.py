@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicmart.llm import decontaminate, language, mixing, personal, secrets, token_counts
+from clinicmart.llm import decontaminate, language, mixing, near_dups, personal, secrets, token_counts
 from clinicmart.llm.common import held_out, table
 from clinicmart.llm.oracles import ORACLES
 from clinicmart.sources.store import work_root
@@ -56,6 +56,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.detect(docs, detector))
 
 
+def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate documents."""
+    found = near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """Token counts of every document; ``model`` is the path of the vocabulary file."""
     if model is None:
@@ -68,7 +74,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str, model: str | None = None) -> D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language, op2_mix, op3_secrets, op5_decontaminate, op8_pii, op10_tokens)
+    for f in (op1_language, op2_mix, op3_secrets, op5_decontaminate, op8_pii, op9_near_dups, op10_tokens)
 }
 
 
