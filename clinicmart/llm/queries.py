@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicmart.llm import decontaminate, language, mixing, near_dups, personal, secrets, token_counts
+from clinicmart.llm import decontaminate, language, mixing, near_dups, personal, secrets, substrings, token_counts
 from clinicmart.llm.common import held_out, table
 from clinicmart.llm.oracles import ORACLES
 from clinicmart.sources.store import work_root
@@ -41,6 +41,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents"), ledger))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 35-word windows that also start elsewhere."""
+    return substrings.digest(substrings.repeated(table(spark, sf_dir, "documents")))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.contamination(
@@ -74,7 +79,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str, model: str | None = None) -> D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language, op2_mix, op3_secrets, op5_decontaminate, op8_pii, op9_near_dups, op10_tokens)
+    for f in (op1_language, op2_mix, op3_secrets, op4_substrings, op5_decontaminate, op8_pii, op9_near_dups, op10_tokens)
 }
 
 
