@@ -38,6 +38,8 @@ BINS = 128
 ROWS = 4
 #: Sets up to this size are compared by prefixes, which miss nothing.
 SMALL = 32
+#: Sets up to this size are compared whole before their texts are fetched.
+WHOLE = 48
 _TRIES = 64
 
 _source = np.random.Generator(np.random.PCG64(77)).integers(0, BINS, (BINS, _TRIES))
@@ -95,11 +97,12 @@ def _buckets(hashes: np.ndarray, least: np.ndarray, small: int) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
-def _sketch(least: np.ndarray) -> np.ndarray:
-    """Two bits of each bin, packed: similar sets differ in few of them."""
+def _sketch(hashes: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Two bits of each bin in four numbers: similar sets differ in few. Small sets follow whole."""
     mixed = hashing.mix(least)
     bits = np.stack([mixed & np.uint64(1), mixed >> np.uint64(1) & np.uint64(1)]).astype(np.uint8)
-    return np.packbits(bits.ravel()).view(np.int64)
+    packed = np.packbits(bits.ravel()).view(np.int64)
+    return packed if len(hashes) > WHOLE else np.concatenate([packed, hashes.view(np.int64)])
 
 
 def profiles(docs: DataFrame, id_column: str, text_column: str, small: int = SMALL) -> DataFrame:
@@ -118,7 +121,7 @@ def profiles(docs: DataFrame, id_column: str, text_column: str, small: int = SMA
                     set_b.append(int(hashing.mix(hashes ^ _PREFIX).sum(dtype=np.uint64).view(np.int64)))
                     if len(hashes):
                         least = signature(hashes)
-                        sketches.append(_sketch(least))
+                        sketches.append(_sketch(hashes, least))
                         buckets.append(_buckets(hashes, least, small))
                     else:
                         sketches.append([])
@@ -176,16 +179,23 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _possible(n: Column, m: Column, distance: Column) -> Column:
-    """Whether two sets can be similar enough, by their sizes and sketches.
+def _possible(n: Column, m: Column, x: Column, y: Column) -> Column:
+    """Whether two sets can be similar enough, by their sizes and what stands for them.
 
-    At the least similarity a quarter of the bins differ, which is 32 of the 256 bits on
-    average; seven standard deviations more are let through, counting that small sets
-    have fewer bins of their own.
+    Sketches are compared first, then small sets, which are there whole: at the least similarity
+    a quarter of the bins differ, which is 32 of the 256 bits on average; seven standard
+    deviations more are let through, counting that small sets have fewer bins of their own.
     """
     smaller = F.least(n, m)
+    differing = F.aggregate(
+        F.zip_with(F.slice(x, 1, 4), F.slice(y, 1, 4), lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+        F.lit(0),
+        lambda total, bits: total + bits,
+    )
     spread = 44 * F.sqrt(F.lit(float(BINS)) / F.least(smaller, F.lit(BINS)))
-    return (F.greatest(n, m) * PERCENT <= smaller * 100) & (distance <= 32 + spread)
+    both = F.size(F.array_intersect(F.slice(x, 5, WHOLE), F.slice(y, 5, WHOLE)))
+    alike = F.when(F.greatest(n, m) <= WHOLE, 100 * both >= PERCENT * (n + m - both)).otherwise(True)
+    return (F.greatest(n, m) * PERCENT <= smaller * 100) & (differing <= 32 + spread) & alike
 
 
 def near_duplicates(
@@ -223,10 +233,12 @@ def near_duplicates(
     tested = saved(_propose(members, first), "pairs")
     links = saved(confirm(tested, texts), "links")
     joined = components(links)
-    mixed, centres = _mixed(members, joined), 2
+    mixed, done, centres = _mixed(members, joined, 0), 0, 2
     while not mixed.isEmpty():
         pairs = saved(
-            _propose(mixed, _centres(mixed, centres), across=True).join(tested, ["a", "b"], "left_anti"),
+            _propose(mixed, _centres(mixed, done, centres), across=True).join(
+                tested, ["a", "b"], "left_anti"
+            ),
             "pairs",
         )
         tested = tested.unionByName(pairs)
@@ -234,10 +246,9 @@ def near_duplicates(
         if not more.isEmpty():
             links = links.unionByName(more)
             joined = components(links)
-            mixed = _mixed(members, joined)
         # Done once each member of a bucket that is still mixed has been a centre.
-        mixed = saved(mixed.join(_larger(mixed, centres), "key", "left_semi"), "mixed")
-        centres *= 2
+        mixed = _mixed(members, joined, centres)
+        done, centres = centres, 2 * centres
     return _named_components(known, listed, sets, links, joined)
 
 
@@ -262,47 +273,39 @@ def _distinct_sets(listed: DataFrame) -> DataFrame:
 def _propose(members: DataFrame, centres: DataFrame, across: bool = False) -> DataFrame:
     """Distinct possible pairs of a centre and a member of its bucket, smaller node first."""
     c = F.col("c")
-    differing = F.aggregate(
-        F.zip_with("sketch", c["sketch"], lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-        F.lit(0),
-        lambda total, bits: total + bits,
+    near = (F.col("node") != c["node"]) & _possible(
+        F.col("n_shingles"), c["n_shingles"], F.col("sketch"), c["sketch"]
     )
-    near = (F.col("node") != c["node"]) & _possible(F.col("n_shingles"), c["n_shingles"], differing)
     if across:
         near &= F.col("component") != c["component"]
     pair = F.least("node", c["node"]).alias("a"), F.greatest("node", c["node"]).alias("b")
     return members.join(centres, "key").filter(near).select(*pair).distinct()
 
 
-def _mixed(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with their component."""
+def _mixed(members: DataFrame, joined: DataFrame, done: int) -> DataFrame:
+    """Members, with component, of buckets that hold several components and more than ``done`` members."""
     component = F.coalesce("component", "node")
     named_members = members.join(
         joined.withColumnRenamed("id", "node"), "node", "left"
     ).withColumn("component", component)
     keys = (
         named_members.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        .filter((F.col("low") != F.col("high")) & (F.col("n") > done))
     )
     return saved(named_members.join(keys.select("key"), "key"), "mixed")
 
 
-def _centres(mixed: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` members of each bucket in an order of its own."""
+def _centres(mixed: DataFrame, done: int, count: int) -> DataFrame:
+    """The members after the first ``done`` up to ``count`` of each bucket, in an order of its own."""
     order = Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
     return (
         mixed.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= count)
+        .filter((F.col("rank") <= count) & (F.col("rank") > done))
         .select("key", F.struct("node", "n_shingles", "sketch", "component").alias("c"))
     )
 
 
-def _larger(mixed: DataFrame, count: int) -> DataFrame:
-    """Buckets with members that have not been a centre."""
-    return mixed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > count).select("key")
-
-
 def _named_components(
     known: DataFrame, listed: DataFrame, sets: DataFrame, links: DataFrame, joined: DataFrame
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicmart.llm import decontaminate, language, mixing, near_dups, personal, secrets, substrings, token_counts
+from clinicmart.llm import decontaminate, language, lm, mixing, near_dups, personal, secrets, substrings, token_counts
 from clinicmart.llm.common import held_out, table
 from clinicmart.llm.oracles import ORACLES
 from clinicmart.sources.store import work_root
@@ -54,6 +54,17 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under models of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = lm.score(docs, docs.filter(~held_out(F.col("doc_id"), 7, 2)))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id"), 7, 2).alias("held_out"),
+        *[c for c in found.columns if c != "id"],
+    )
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     docs = table(spark, sf_dir, "documents")
@@ -79,7 +90,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str, model: str | None = None) -> D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language, op2_mix, op3_secrets, op4_substrings, op5_decontaminate, op8_pii, op9_near_dups, op10_tokens)
+    for f in (op1_language, op2_mix, op3_secrets, op4_substrings, op5_decontaminate, op6_lm, op8_pii, op9_near_dups, op10_tokens)
 }
 
 
