@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clinicmart.sources.store import work_root
 
@@ -48,6 +49,17 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def whole_rows(df: DataFrame, text_column: str) -> DataFrame:
+    """``(row, text)``: each row as one value, which an operator takes as its id and hands through."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(row.alias("row"), F.col(f"`{text_column}`").alias("text"))
+
+
+def with_id(texts: DataFrame, rest: str) -> StructType:
+    """The schema of a result: the id of the texts, then the given columns."""
+    return StructType([texts.schema["id"], *StructType.fromDDL(rest).fields])
+
+
 def held_out(id_column: Column, buckets: int, bucket: int) -> Column:
     """True for the ids whose crc32 falls in the bucket; a null id is never held out."""
     crc = F.crc32(id_column.cast("string").cast("binary"))

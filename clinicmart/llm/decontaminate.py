@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinicmart.llm import hashing
-from clinicmart.llm.common import bound_batches, named, sha256_text, text_chunks
+from clinicmart.llm.common import bound_batches, named, sha256_text, text_chunks, with_id
 
 WINDOW = 10
 BLOCK = 8
@@ -248,7 +248,6 @@ def _classes(rows: list) -> tuple[list[Tables], list[list[list[str]]]]:
 
 
 def _search(texts: DataFrame, tables) -> DataFrame:
-    id_type = texts.schema["id"].dataType.simpleString()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, items = tables.value
@@ -279,8 +278,10 @@ def _search(texts: DataFrame, tables) -> DataFrame:
 
     return texts.withColumn("key", F.xxhash64("text")).mapInArrow(
         search,
-        f"id {id_type}, key bigint, n_words bigint, hits array<struct<start:int,end:int>>, "
-        "items array<string>",
+        with_id(
+            texts,
+            "key bigint, n_words bigint, hits array<struct<start:int,end:int>>, items array<string>",
+        ),
     )
 
 

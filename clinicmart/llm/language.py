@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicmart.llm import hashing
-from clinicmart.llm.common import bound_batches, named, text_chunks
+from clinicmart.llm.common import bound_batches, named, text_chunks, with_id
 
 BINS = 1 << 16
 #: Documents per language the trigram counts are taken from: those with the smallest hash
@@ -174,7 +174,6 @@ def identify(
     languages, table = model
     shared = spark.sparkContext.broadcast(table)
     texts = named(docs, id=id_column, text=text_column)
-    id_type = texts.schema["id"].dataType.simpleString()
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +213,11 @@ def identify(
 
     out = texts.withColumn("letter", letter).mapInArrow(
         predict,
-        f"id {id_type}, letter boolean, lang_pred string, score double, noise double, "
-        "langs array<struct<lang:string,share:double>>",
+        with_id(
+            texts,
+            "letter boolean, lang_pred string, score double, noise double, "
+            "langs array<struct<lang:string,share:double>>",
+        ),
     )
     return out.select(
         "id",

@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicmart.llm import decontaminate, language, lm, mixing, near_dups, personal, secrets, substrings, token_counts
+from clinicmart.llm import decontaminate, language, lm, mixing, near_dups, personal, secrets, substrings, token_counts, vectors
 from clinicmart.llm.common import held_out, table
 from clinicmart.llm.oracles import ORACLES
 from clinicmart.sources.store import work_root
@@ -65,6 +65,12 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors with a cosine of at least 0.9."""
+    found = vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     docs = table(spark, sf_dir, "documents")
@@ -90,7 +96,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str, model: str | None = None) -> D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language, op2_mix, op3_secrets, op4_substrings, op5_decontaminate, op6_lm, op8_pii, op9_near_dups, op10_tokens)
+    for f in (op1_language, op2_mix, op3_secrets, op4_substrings, op5_decontaminate, op6_lm, op7_vectors, op8_pii, op9_near_dups, op10_tokens)
 }
 
 
