@@ -25,7 +25,9 @@ BINS = 1 << 16
 TRAIN_DOCS = 5_000
 #: Languages a model may have; more distinct labels are an error, as labels are then no languages.
 MAX_LANGUAGES = 500
-SMOOTHING = 0.5
+#: Share of the uniform distribution in each language: a trigram it has never seen has the same
+#: probability whether much or little text was learned from.
+SMOOTHING = 0.05
 #: Probability of any trigram under noise: well below what a language gives to a trigram it
 #: has, above what it gives to one it has never seen.
 NOISE = 2.0**-19
@@ -96,7 +98,7 @@ def train(
     for k, row in enumerate(found):
         for cell in row["bins"]:
             table[cell["bin"], k] = cell["n"]
-    table = np.log((table + SMOOTHING) / (table.sum(0) + SMOOTHING * BINS))
+    table = np.log((1 - SMOOTHING) * table / np.maximum(table.sum(0), 1) + SMOOTHING / BINS)
     return [r["lang"] for r in found], table.astype(np.float32)
 
 

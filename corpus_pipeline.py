@@ -38,17 +38,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without an id cannot be grouped and stay.
     """
     found = near_dups.near_duplicates(docs)
-    kept = found.filter("kept AND id IS NOT NULL").select(F.col("id").alias("_kept_id")).distinct()
-    key = F.col("doc_id").cast("bigint")
-    first = Window.partitionBy(key).orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
-    named = (
-        docs.filter(key.isNotNull())
-        .join(kept, key == F.col("_kept_id"), "left_semi")
-        .withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
+    kept = found.filter("kept AND id IS NOT NULL").select("id").distinct()
+    rows = whole_rows(docs, "text").withColumn("id", F.col("row.doc_id").cast("bigint"))
+    first = Window.partitionBy("id").orderBy(F.xxhash64("text"), F.xxhash64("row"))
+    one_each = (
+        rows.filter("id IS NOT NULL")
+        .join(kept, "id", "left_semi")
+        .withColumn("rank", F.row_number().over(first))
+        .filter("rank = 1")
     )
-    return named.unionByName(docs.filter(key.isNull()))
+    return one_each.select("row").unionByName(rows.filter("id IS NULL").select("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,192 @@
+"""Nulls, empty and long texts, repeated rows, empty tables and clashing names, for every operator."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from clinicmart.llm import (
+    decontaminate,
+    language,
+    lm,
+    mixing,
+    near_dups,
+    personal,
+    secrets,
+    substrings,
+    token_counts,
+    vectors,
+)
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+LONG = " ".join(f"word{i % 997}x{i % 13}" for i in range(60_000))
+ROWS = [
+    (1, "the quick brown fox jumps over the lazy dog and runs far away from here", "en", "a", 1),
+    (1, "the quick brown fox jumps over the lazy dog and runs far away from here", "en", "a", 1),
+    (2, "", "en", "a", 1),
+    (3, None, None, None, None),
+    (None, "eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf", "de", "b", 1),
+    (5, LONG, "en", "a", 1),
+    (6, " \t\n ", None, "b", 1),
+    (7, "12345 !!! 67890", "de", "b", 1),
+]
+#: Names that the operators use inside.
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+EXTRA = ("id", "key", "group", "digest", "rows", "spans", "n", "_rank", "component", "who", "row")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).withColumns({c: F.lit("x") for c in EXTRA})
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.filter("false")
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    rows = [(10, "Brown fox, jumps over the lazy dog and runs far!"), (None, "zehn elf"), (12, None), (13, "")]
+    return spark.createDataFrame(rows, "item_id bigint, text string").withColumn("id", F.lit("x"))
+
+
+def by_id(df, name="id"):
+    out = {}
+    for row in df.collect():
+        out.setdefault(row[name], []).append(row)
+    return out
+
+
+def test_language(docs, none):
+    model = language.train(docs)
+    assert model[0] == ["de", "en"]
+    found = by_id(language.identify(docs, model))
+    assert [r.lang_pred for r in found[1]] == ["en", "en"]
+    assert found[None][0].lang_pred == "de"
+    for i in (2, 3, 6, 7):
+        assert (found[i][0].lang_pred, found[i][0].score) == ("und", 0.0)
+    assert language.identify(none, model).count() == 0
+    untrained = language.identify(docs, language.train(none))
+    assert {r.lang_pred for r in untrained.collect()} == {"und"}
+
+
+def test_mixing(docs, none):
+    rows = mixing.mix(docs, total=4.0).collect()
+    assert all(r.doc_id != 7 or r.source == "b" for r in rows)
+    first = [r for r in rows if r.doc_id == 1]
+    assert len(first) % 2 == 0
+    assert mixing.mix(none).count() == 0
+    assert mixing.mix(docs, weights={}).count() == 0
+    assert {r.source for r in mixing.mix(docs, weights={"b": 1.0}, total=3.0).collect()} <= {"b"}
+
+
+def test_secrets(spark, docs, none, tmp_path):
+    secret = docs.withColumn("text", F.concat("text", F.lit(" api_key = 'abcdef0123456789' é")))
+    ledger = secrets.BlobLedger(spark, str(tmp_path / "a"))
+    found = by_id(secrets.digest(secrets.scan(secret, ledger)), "doc_id")
+    assert len(found[1]) == 2 and found[1][0] == found[1][1]
+    assert (found[1][0].n_assign, found[1][0].n_hex) == (1, 1)
+    assert found[3][0].spans == ""
+    assert found[None][0].n_assign == 1
+    assert secrets.scan(none, secrets.BlobLedger(spark, str(tmp_path / "b"))).count() == 0
+
+
+def test_substrings(docs, none):
+    found = by_id(substrings.digest(substrings.repeated(docs, window=8, anchor=3)), "doc_id")
+    assert [(r.n_words, r.n_removed) for r in found[1]] == [(15, 15)] * 2
+    assert [(found[i][0].n_words, found[i][0].n_removed) for i in (2, 3, 6)] == [(0, 0)] * 3
+    assert (found[None][0].n_words, found[None][0].n_removed) == (12, 0)
+    assert found[5][0].n_words == 60_000
+    assert substrings.repeated(none).count() == 0
+
+
+def test_decontamination(docs, none, benchmark):
+    for size in (decontaminate.PASS_BYTES, 64):
+        found = by_id(decontaminate.contamination(docs, benchmark, pass_bytes=size))
+        assert [(r.n_words, r.n_hit, r.n_items) for r in found[1]] == [(15, 10, 1)] * 2
+        # The item without an id is searched, and names nothing.
+        assert (found[None][0].n_hit, found[None][0].n_items) == (0, 0) or found[None][0].n_hit == 2
+        assert [found[i][0].n_words for i in (2, 3, 6)] == [0, 0, 0]
+    assert decontaminate.contamination(none, benchmark).count() == 0
+    assert not any(r.contaminated for r in decontaminate.contamination(docs, benchmark.filter("false")).collect())
+
+
+def test_language_model(docs, none):
+    found = by_id(lm.score(docs, docs))
+    assert len(found[1]) == 2 and found[1][0] == found[1][1]
+    assert [found[i][0].n_tokens for i in (2, 3, 6)] == [1, 1, 1]
+    assert found[5][0].n_tokens == found[5][0].n_known == 60_001
+    assert lm.score(none, none).count() == 0
+    unseen = by_id(lm.score(docs, none))
+    assert unseen[1][0].n_known == 0 and unseen[1][0].base_score == 0.0
+
+
+def test_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 0.1]), (4, [0.0, 0.0]), (5, None), (6, [nan, 1.0]),
+        (7, [inf, 1.0]), (8, [None, 1.0]), (9, []), (10, [1.0]), (None, [1.0, 0.0]), (11, [1e200, 1e200]),
+        (12, [0.0, 1.0]), (2, [1.0, 0.0]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("n", F.lit(0))
+    found = by_id(vectors.near_vectors(df))
+    assert [(r.n_links, r.component_id, r.kept) for r in found[1]] == [(3, 1, True)]
+    assert [(r.n_links, r.component_id, r.kept) for r in found[2]] == [(3, 1, False)] * 2
+    assert (found[3][0].n_links, found[3][0].component_id) == (3, 1)
+    for i in (4, 5, 6, 7, 8, 9, 10, 11, 12):
+        assert (found[i][0].n_links, found[i][0].component_id, found[i][0].kept) == (0, i, True)
+    assert (found[None][0].n_links, found[None][0].kept) == (0, True)
+    assert vectors.near_vectors(df.filter("false")).count() == 0
+
+
+def test_personal(docs, none):
+    detector = personal.learn(personal.labelled(docs))
+    marked = docs.withColumn("text", F.concat("text", F.lit(" é a.b@c.de 10.0.0.1")))
+    found = by_id(personal.digest(personal.detect(marked, detector)), "doc_id")
+    assert [(r.n_email, r.n_ip) for r in found[1]] == [(1, 1)] * 2
+    assert found[3][0].spans == "" and found[None][0].n_email == 1
+    assert personal.detect(none, detector).count() == 0
+    assert personal.redacted("mail a.b@c.de now", [(5, 0, 13, "email")]) == "mail <EMAIL> now"
+
+
+def test_near_duplicates(docs, none, spark):
+    found = by_id(near_dups.near_duplicates(docs))
+    assert [(r.n_shingles, r.component_id, r.kept) for r in found[1]] == [(11, 1, True)] * 2
+    assert [(found[i][0].n_shingles, found[i][0].component_id) for i in (2, 3, 6)] == [(0, 2), (0, 3), (0, 6)]
+    assert found[7][0].n_shingles == 1
+    assert found[None][0].component_id is None and found[None][0].kept
+    assert near_dups.near_duplicates(none).count() == 0
+    # Two texts under one id tie their groups together.
+    words = [f"w{i}" for i in range(40)]
+    left, right = " ".join(words), " ".join(reversed(words))
+    tied = spark.createDataFrame([(4, left), (9, left), (9, right), (8, right)], "doc_id bigint, text string")
+    assert {r.component_id for r in near_dups.near_duplicates(tied).collect()} == {4}
+
+
+def test_token_counts(docs, none):
+    found = by_id(token_counts.count_tokens(docs, MODEL, chunk=500, overlap=40))
+    whole = by_id(token_counts.count_tokens(docs, MODEL, chunk=1 << 22))
+    assert found == whole and len(found[1]) == 2
+    assert [(found[i][0].n_bytes, found[i][0].n_tokens) for i in (2, 3)] == [(0, 0)] * 2
+    assert found[5][0].over_limit
+    assert token_counts.count_tokens(none, MODEL).count() == 0
+
+
+def test_pipeline_stages(spark, docs, none, benchmark, tmp_path):
+    folder = str(tmp_path)
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    for table in (docs, none):
+        now = table
+        for name, stage in corpus_pipeline.STAGES:
+            after = corpus_pipeline.saved(stage(spark, now, folder), name)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert after.columns == docs.columns
+            if name == "language_id" and table is docs:
+                assert sorted(r.doc_id or 0 for r in after.collect()) == [0, 1, 1, 5]
+            if name == "near_dedup" and table is docs:
+                assert sorted(r.doc_id or 0 for r in after.collect()) == [0, 1, 5]
+            if name == "decontaminate" and table is docs:
+                assert 1 not in {r.doc_id for r in after.collect()}
+            now = after
