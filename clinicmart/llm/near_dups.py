@@ -6,11 +6,10 @@ bin that a hash of their own number picks (optimal densification). Groups of
 consecutive bins are bands, and documents that agree in a band share a bucket.
 
 A bucket proposes a star: its members against one centre, never all pairs. Proposed
-pairs are confirmed on the full shingle sets. After each round, buckets whose members lie
-in different components get further centres, twice as many each time, against members of
-other components; pairs looked at before are left out. This ends when no
-bucket has an untested pair across components, so no link between members of a
-bucket that would join two components is lost.
+pairs are confirmed on the full shingle sets. Most buckets then lie in one component and
+are done. In the others, every member outside the largest component becomes a centre
+too, against the members of other components that sketches and sizes leave possible.
+So no link between members of a bucket that would join two components is lost.
 
 Before all that, documents with equal sets are reduced to one, the smallest id. Small
 sets have too few hashes for sure signatures. They get buckets for the shingles of their
@@ -183,8 +182,9 @@ def _possible(n: Column, m: Column, x: Column, y: Column) -> Column:
     """Whether two sets can be similar enough, by their sizes and what stands for them.
 
     Sketches are compared first, then small sets, which are there whole: at the least similarity
-    a quarter of the bins differ, which is 32 of the 256 bits on average; seven standard
-    deviations more are let through, counting that small sets have fewer bins of their own.
+    a quarter of the bins differ, which is 32 of the 256 bits on average; five and a half
+    standard deviations more are let through (two pairs in a hundred million go beyond),
+    counting that small sets have fewer bins of their own.
     """
     smaller = F.least(n, m)
     differing = F.aggregate(
@@ -192,7 +192,7 @@ def _possible(n: Column, m: Column, x: Column, y: Column) -> Column:
         F.lit(0),
         lambda total, bits: total + bits,
     )
-    spread = 44 * F.sqrt(F.lit(float(BINS)) / F.least(smaller, F.lit(BINS)))
+    spread = 35 * F.sqrt(F.lit(float(BINS)) / F.least(smaller, F.lit(BINS)))
     both = F.size(F.array_intersect(F.slice(x, 5, WHOLE), F.slice(y, 5, WHOLE)))
     alike = F.when(F.greatest(n, m) <= WHOLE, 100 * both >= PERCENT * (n + m - both)).otherwise(True)
     return (F.greatest(n, m) * PERCENT <= smaller * 100) & (differing <= 32 + spread) & alike
@@ -233,22 +233,12 @@ def near_duplicates(
     tested = saved(_propose(members, first), "pairs")
     links = saved(confirm(tested, texts), "links")
     joined = components(links)
-    mixed, done, centres = _mixed(members, joined, 0), 0, 2
-    while not mixed.isEmpty():
-        pairs = saved(
-            _propose(mixed, _centres(mixed, done, centres), across=True).join(
-                tested, ["a", "b"], "left_anti"
-            ),
-            "pairs",
-        )
-        tested = tested.unionByName(pairs)
-        more = saved(confirm(pairs, texts), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            joined = components(links)
-        # Done once each member of a bucket that is still mixed has been a centre.
-        mixed = _mixed(members, joined, centres)
-        done, centres = centres, 2 * centres
+    outsiders, crowd = _outsiders(members, joined)
+    pairs = _propose(crowd, outsiders, across=True).join(tested, ["a", "b"], "left_anti")
+    more = saved(confirm(saved(pairs, "pairs"), texts), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        joined = components(links)
     return _named_components(known, listed, sets, links, joined)
 
 
@@ -282,28 +272,27 @@ def _propose(members: DataFrame, centres: DataFrame, across: bool = False) -> Da
     return members.join(centres, "key").filter(near).select(*pair).distinct()
 
 
-def _mixed(members: DataFrame, joined: DataFrame, done: int) -> DataFrame:
-    """Members, with component, of buckets that hold several components and more than ``done`` members."""
+def _outsiders(members: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For buckets that hold several components: the members outside the largest, and all members.
+
+    Of any two members of different components, one is an outsider.
+    """
     component = F.coalesce("component", "node")
-    named_members = members.join(
-        joined.withColumnRenamed("id", "node"), "node", "left"
-    ).withColumn("component", component)
-    keys = (
-        named_members.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .filter((F.col("low") != F.col("high")) & (F.col("n") > done))
+    placed = members.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn(
+        "component", component
     )
-    return saved(named_members.join(keys.select("key"), "key"), "mixed")
-
-
-def _centres(mixed: DataFrame, done: int, count: int) -> DataFrame:
-    """The members after the first ``done`` up to ``count`` of each bucket, in an order of its own."""
-    order = Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
-    return (
-        mixed.withColumn("rank", F.row_number().over(order))
-        .filter((F.col("rank") <= count) & (F.col("rank") > done))
-        .select("key", F.struct("node", "n_shingles", "sketch", "component").alias("c"))
+    largest = (
+        placed.groupBy("key", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("key")
+        .agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
+        .filter("kinds > 1")
+    )
+    crowd = saved(
+        placed.join(largest.select("key", F.col("most.component").alias("main")), "key"), "crowd"
     )
+    centre = F.struct("node", "n_shingles", "sketch", "component").alias("c")
+    return crowd.filter("component <> main").select("key", centre), crowd
 
 
 def _named_components(
