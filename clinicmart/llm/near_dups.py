@@ -8,8 +8,8 @@ consecutive bins are bands, and documents that agree in a band share a bucket.
 A bucket proposes a star: its members against one centre, never all pairs. Proposed
 pairs are confirmed on the full shingle sets. Most buckets then lie in one component and
 are done. In the others, every member outside the largest component becomes a centre
-too, against the members of other components that sketches and sizes leave possible.
-So no link between members of a bucket that would join two components is lost.
+too, four times as many in each round, against the members of other components that
+sizes, sketches and small sets leave possible. So no link between members of a bucket that would join two components is lost.
 
 Before all that, documents with equal sets are reduced to one, the smallest id. Small
 sets have too few hashes for sure signatures. They get buckets for the shingles of their
@@ -38,7 +38,7 @@ ROWS = 4
 #: Sets up to this size are compared by prefixes, which miss nothing.
 SMALL = 32
 #: Sets up to this size are compared whole before their texts are fetched.
-WHOLE = 48
+WHOLE = 256
 _TRIES = 64
 
 _source = np.random.Generator(np.random.PCG64(77)).integers(0, BINS, (BINS, _TRIES))
@@ -214,7 +214,7 @@ def near_duplicates(
     listed = known.filter("id IS NOT NULL AND n_shingles > 0")
     sets = saved(_distinct_sets(listed), "sets")
 
-    members = sets.select("node", "n_shingles", "sketch", F.explode("buckets").alias("key"))
+    members = sets.select("node", "n_shingles", F.explode("buckets").alias("key"))
     shared = (
         members.groupBy("key")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
@@ -227,18 +227,26 @@ def near_duplicates(
     texts = rows.join(involved, ["id", "digest"]).select("node", "text")
     texts = saved(texts.dropDuplicates(["node"]), "texts")
 
-    first = members.groupBy("key").agg(
-        F.min_by(F.struct("node", "n_shingles", "sketch"), "node").alias("c")
-    )
+    first = members.groupBy("key").agg(F.min_by(F.struct("node", "n_shingles"), "node").alias("c"))
     tested = saved(_propose(members, first), "pairs")
     links = saved(confirm(tested, texts), "links")
     joined = components(links)
-    outsiders, crowd = _outsiders(members, joined)
-    pairs = _propose(crowd, outsiders, across=True).join(tested, ["a", "b"], "left_anti")
-    more = saved(confirm(saved(pairs, "pairs"), texts), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        joined = components(links)
+    crowd = _crowd(members, sets, joined)
+    done, upto = 0, 2
+    while not crowd.isEmpty():
+        # Members whose component has changed since are compared by the one they have now.
+        now = _placed(crowd.drop("component"), joined) if done else crowd
+        centres = now.filter((F.col("rank") > done) & (F.col("rank") <= upto))
+        pairs = _propose(now, centres.select("key", _centre("sketch", "component")))
+        pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        more = saved(confirm(pairs, texts), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            joined = components(links)
+        if now.filter(F.col("rank") > upto).isEmpty():
+            break
+        done, upto = upto, 4 * upto
     return _named_components(known, listed, sets, links, joined)
 
 
@@ -260,39 +268,54 @@ def _distinct_sets(listed: DataFrame) -> DataFrame:
     ).drop("rank")
 
 
-def _propose(members: DataFrame, centres: DataFrame, across: bool = False) -> DataFrame:
-    """Distinct possible pairs of a centre and a member of its bucket, smaller node first."""
+def _centre(*more: str) -> Column:
+    return F.struct("node", "n_shingles", *more).alias("c")
+
+
+def _propose(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Distinct possible pairs of a centre and a member of its bucket, smaller node first.
+
+    Where components are known, only pairs across them, as far as their sets may be similar.
+    """
     c = F.col("c")
-    near = (F.col("node") != c["node"]) & _possible(
-        F.col("n_shingles"), c["n_shingles"], F.col("sketch"), c["sketch"]
+    near = (F.col("node") != c["node"]) & (
+        F.greatest("n_shingles", c["n_shingles"]) * PERCENT <= F.least("n_shingles", c["n_shingles"]) * 100
     )
-    if across:
+    if "component" in members.columns:
         near &= F.col("component") != c["component"]
+        near &= _possible(F.col("n_shingles"), c["n_shingles"], F.col("sketch"), c["sketch"])
     pair = F.least("node", c["node"]).alias("a"), F.greatest("node", c["node"]).alias("b")
     return members.join(centres, "key").filter(near).select(*pair).distinct()
 
 
-def _outsiders(members: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For buckets that hold several components: the members outside the largest, and all members.
+def _placed(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members with their component."""
+    own = F.coalesce("component", "node")
+    return members.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn("component", own)
+
 
-    Of any two members of different components, one is an outsider.
+def _crowd(members: DataFrame, sets: DataFrame, joined: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, those outside the largest numbered.
+
+    Of any two members of different components, one is outside the largest, and stays so or
+    joins it: numbers are given once, in an order of the bucket's own.
     """
-    component = F.coalesce("component", "node")
-    placed = members.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn(
-        "component", component
-    )
+    placed = _placed(members, joined)
     largest = (
         placed.groupBy("key", "component")
         .agg(F.count("*").alias("n"))
         .groupBy("key")
         .agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
         .filter("kinds > 1")
+        .select("key", F.col("most.component").alias("main"))
     )
-    crowd = saved(
-        placed.join(largest.select("key", F.col("most.component").alias("main")), "key"), "crowd"
+    mixed = placed.join(largest, "key")
+    order = Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
+    outside = mixed.filter("component <> main").select(
+        "key", "node", F.row_number().over(order).alias("rank")
     )
-    centre = F.struct("node", "n_shingles", "sketch", "component").alias("c")
-    return crowd.filter("component <> main").select("key", centre), crowd
+    numbered = mixed.drop("main").join(outside, ["key", "node"], "left")
+    return saved(numbered.join(sets.select("node", "sketch"), "node"), "crowd")
 
 
 def _named_components(
