@@ -31,6 +31,36 @@ def round_half_even(value: Column, digits: int) -> Column:
     return F.rint(value.cast("double") * F.lit(scale)) / F.lit(scale)
 
 
+def round_number(value: Column, digits: int) -> Column:
+    """Round the stored binary value of a single number; only an exact tie goes to the even neighbour.
+
+    Scaling can round a value that is no tie onto one. What the product lost, found by
+    splitting both factors, then tells on which side the value lies.
+    """
+    x, scale = value.cast("double"), float(10**digits)
+    split = float((1 << 27) + 1)
+    wide = x * F.lit(split)
+    high = wide - (wide - x)
+    low = x - high
+    top = scale * split - (scale * split - scale)
+    rest = scale - top
+    product = x * F.lit(scale)
+    lost = ((high * F.lit(top) - product) + high * F.lit(rest) + low * F.lit(top)) + low * F.lit(rest)
+    tie = product - F.floor(product) == F.lit(0.5)
+    rounded = (
+        F.when(tie & (lost > 0), F.ceil(product).cast("double"))
+        .when(tie & (lost < 0), F.floor(product).cast("double"))
+        .otherwise(F.rint(product))
+    )
+    return rounded / F.lit(scale)
+
+
+def rate_number(part: Column, whole: Column, digits: int) -> Column:
+    """Percentage as a single number, rounded by ``round_number``; null when ``whole`` is 0."""
+    share = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
+    return round_number(share * F.lit(100.0), digits)
+
+
 def rate_float(part: Column, whole: Column, digits: int) -> Column:
     """Percentage as double, rounded half to even; null when ``whole`` is 0."""
     share = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))

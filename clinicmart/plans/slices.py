@@ -141,8 +141,8 @@ def kpi_row(sliced: DataFrame, saturation: DataFrame) -> DataFrame:
         _mean_wait(sliced, _attended()).alias("espera"),
     )
     zero = F.lit(0.0)
-    no_show = measures.rate_float(F.col("total_ausentes"), F.col("total_cerradas"), 2)
-    attended = measures.rate_float(F.col("total_atendidas"), F.col("total_fichas"), 1)
+    no_show = measures.rate_number(F.col("total_ausentes"), F.col("total_cerradas"), 2)
+    attended = measures.rate_number(F.col("total_atendidas"), F.col("total_fichas"), 1)
     return totals.select(
         "total_fichas", "total_atendidas", "total_ausentes", "total_canceladas", "total_cerradas",
         F.coalesce(no_show, zero).alias("tasa_ausentismo"),

@@ -22,7 +22,9 @@ def work_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.sparkContext.applicationId
-        base = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="clinicmart-"))
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="clinicmart-")
+        base = _local_roots[app]
     return f"{base.rstrip('/')}/clinicmart-{spark.sparkContext.applicationId}"
 
 

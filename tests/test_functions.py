@@ -184,3 +184,14 @@ def test_mean_decimal(column):
     )
     assert got == [Decimal("57.13"), None, None]
     assert math.isclose(457 / 8, 57.125)
+
+
+def test_single_numbers_round_by_their_binary_value(spark):
+    # Literal results: 0.65, 0.025 and 0.475 are stored a little beside the tie, 6.25 and 0.125 are ties.
+    cases = [
+        (13, 2000, 1, 0.7), (1, 4000, 2, 0.03), (19, 4000, 2, 0.47), (3, 4000, 2, 0.07),
+        (1, 16, 1, 6.2), (1, 800, 2, 0.12), (1, 3, 2, 33.33), (0, 5, 1, 0.0),
+    ]
+    for part, whole, digits, want in cases:
+        row = spark.range(1).select(measures.rate_number(F.lit(part), F.lit(whole), digits).alias("r")).first()
+        assert row.r == want, (part, whole, digits)
