@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from clinicmart.sources.store import work_root
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 20_000
+#: Small tables are split too, so that a table takes the same way at every size.
+LEAST_RANGES = 4
 
 # monotonically_increasing_id puts the task number above 33 bits of row number.
 _ROW_BITS = 33
@@ -23,29 +24,23 @@ def dense_key(
     order_by: Sequence[str],
     name: str,
     rows_per_range: int = ROWS_PER_RANGE,
-    max_ranges: int = MAX_RANGES,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows 1..n in ascending order, nulls last.
 
-    ``order_by`` must be a total order. Up to ``rows_per_range`` rows are
-    numbered in one window. More rows are split into ranges of the whole order
-    and sorted (one shuffle; a value of the first column that is very frequent
-    spreads over several ranges), stored below the shared work folder with
-    their place in the range, and numbered on reading: rows in the ranges
+    ``order_by`` must be a total order. Rows are split into ranges of the whole
+    order and sorted (one shuffle; a value of the first column that is very
+    frequent spreads over several ranges), stored below the shared work folder
+    with their place in the range, and numbered on reading: rows in the ranges
     before, plus the place. Storing them fixes the ranges, so a lost executor
-    cannot change a number.
+    cannot change a number. The size of the table only decides how many ranges
+    there are.
 
     ``probe`` may be a frame with as many rows that is cheaper to count, such
     as the stored table ``df`` is derived from.
     """
-    order = [F.col(c).asc_nulls_last() for c in order_by]
     total = (df if probe is None else probe).count()
-    if total <= rows_per_range:
-        rank = F.row_number().over(Window.orderBy(*order))
-        return df.withColumn(name, rank.cast("bigint"))
-
-    ranges = min(max_ranges, ceil(total / rows_per_range))
+    ranges = max(LEAST_RANGES, ceil(total / rows_per_range))
     path = f"{work_root(df.sparkSession)}/ranges/{uuid4().hex}"
     place_ranges(df, order_by, ranges).write.parquet(path)
     placed = df.sparkSession.read.parquet(path)
@@ -55,7 +50,7 @@ def dense_key(
     starts = in_range.select(
         "_range", F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_start")
     )
-    # One row per range, so at most max_ranges rows.
+    # One row of two numbers per range: 1.6 MB for 10^11 rows.
     return (
         placed.join(F.broadcast(starts), "_range")
         .withColumn(name, F.col("_start") + F.col("_place") + 1)

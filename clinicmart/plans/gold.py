@@ -12,6 +12,7 @@ from clinicmart.functions import dates, measures, text
 from clinicmart.operators import quality
 from clinicmart.operators.joins import lookup
 from clinicmart.operators.keys import dense_key
+from clinicmart.operators.rows import first_per_key
 from clinicmart.schema import (
     CALENDAR_COLUMNS,
     CAMPAIGN_FACT_COLUMNS,
@@ -114,8 +115,9 @@ def campaign_type_dimension(campaigns: DataFrame) -> DataFrame:
 
 
 def context_dimension(indicator: DataFrame) -> DataFrame:
-    """Yearly indicator, numbered by year. The clean tier already has one row per year."""
-    clean = indicator.withColumn("pais", text.normalize_text(F.col("pais")))
+    """Yearly indicator, numbered by year. Of rows that repeat a year, the first by country and value stays."""
+    yearly = first_per_key(indicator, ["anio"], ["pais", "valor_cepal"])
+    clean = yearly.withColumn("pais", text.normalize_text(F.col("pais")))
     return dense_key(clean, ["anio"], "contexto_key").select(
         "contexto_key", "anio", "pais", "valor_cepal"
     )

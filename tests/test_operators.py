@@ -72,10 +72,10 @@ def expected_order(data):
     return sorted(data, key=lambda r: (r[0] is None, r[0] or "", r[1]))
 
 
-@pytest.mark.parametrize("per_range", [10_000, 100, 7, 1])
+@pytest.mark.parametrize("per_range", [10_000, 100, 16])
 def test_dense_key_is_a_global_row_number(numbered_input, per_range):
     data, df = numbered_input
-    got = keys.dense_key(df, ["a", "b"], "k", rows_per_range=per_range, max_ranges=64)
+    got = keys.dense_key(df, ["a", "b"], "k", rows_per_range=per_range)
     assert [(r.a, r.b) for r in got.orderBy("k").collect()] == expected_order(data)
     assert sorted(r.k for r in got.collect()) == list(range(1, len(data) + 1))
 
@@ -98,6 +98,14 @@ def test_dense_key_over_ranges_needs_no_single_task(numbered_input):
     assert "functions=[max(_place" in below.split("FileScan")[0]
 
 
+def test_dense_key_takes_one_way_at_every_size(numbered_input):
+    _, df = numbered_input
+    for small in (df, df.limit(3)):
+        plan = plan_of(keys.dense_key(small, ["a", "b"], "k"))
+        assert plan.count("Exchange SinglePartition") == 1
+        assert "functions=[max(_place" in plan.split("Exchange SinglePartition")[1].split("FileScan")[0]
+
+
 def test_dense_key_is_the_same_on_every_run(numbered_input):
     _, df = numbered_input
     got = keys.dense_key(df, ["a", "b"], "k", rows_per_range=50)

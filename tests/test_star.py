@@ -81,6 +81,12 @@ def test_context(star):
     assert got == [(1, 2021, "BOLIVIA", 4.0), (2, 2024, "BOL", 12.5)]
 
 
+def test_context_has_one_row_per_year(spark):
+    rows = [(2001, "B", 2.0), (2000, " bolivia", 1.0), (2000, "a", 3.0), (2001, "B", 2.0)]
+    got = gold.context_dimension(spark.createDataFrame(rows, "anio int, pais string, valor_cepal double"))
+    assert table(got.orderBy("contexto_key"), "*") == [(1, 2000, "BOLIVIA", 1.0), (2, 2001, "B", 2.0)]
+
+
 def test_fact(star):
     assert star.fact.columns == list(FACT_COLUMNS)
     rows = star.fact.orderBy("atencion_key").collect()
