@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinicmart.llm.common import saved
+
 SEED = "mix-1"
 #: A larger mean is drawn as the sum of several draws: exp(-mean) must stay above 0.
 DRAW_MEAN = 500.0
@@ -109,7 +111,9 @@ def mix(
     size = F.coalesce(F.char_length(F.col(f"`{text_column}`")), F.lit(0))
     rates = source_rates(docs, source_column, size, weights, temperature, total)
     key, source = F.col(f"`{id_column}`"), F.col(f"`{source_column}`")
-    rates = rates.withColumnsRenamed({"source": "_mix_source", "rate": "_mix_rate"})
+    # Stored, so that Spark knows the size: a small table is broadcast without dealing the
+    # documents by source first, a larger one is joined by shuffle.
+    rates = saved(rates.withColumnsRenamed({"source": "_mix_source", "rate": "_mix_rate"}), "rates")
     counted = docs.drop("copy_no", "shuffle_key").join(
         rates, source.eqNullSafe(F.col("_mix_source")), "left"
     )
