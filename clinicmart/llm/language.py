@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicmart.llm import hashing
-from clinicmart.llm.common import bound_batches, named, text_chunks, with_id
+from clinicmart.llm.common import bound_batches, named, saved, text_chunks, with_id
 
 BINS = 1 << 16
 #: Documents per language the trigram counts are taken from: those with the smallest hash
 #: of text and id. All texts that are predicted are read whole.
 TRAIN_DOCS = 5_000
+#: Rows ranked for each document to be learned from. Where copies of few texts are nearly all rows of
+#: a label, fewer documents are learned from.
+SPARE = 8
 #: Languages a model may have; more distinct labels are an error, as labels are then no languages.
 MAX_LANGUAGES = 500
 #: Share of the uniform distribution in each language: a trigram it has never seen has the same
@@ -62,8 +65,12 @@ def train(
     spark = docs.sparkSession
     bound_batches(spark)
     rows = named(docs, lang=lang_column, text=text_column).filter("lang IS NOT NULL AND text IS NOT NULL")
+    # Far more than enough of the smallest hashes go to the ranking, whatever the size of a label.
+    labels = saved(rows.groupBy("lang").agg(F.count("*").alias("_all")), "labels")
+    upto = F.lit(-(2.0**63)) + F.lit(2.0**64) * SPARE * train_docs / F.col("_all")
+    near = rows.join(labels, "lang").filter(F.xxhash64("text").cast("double") <= upto)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text"))
-    chosen = rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= train_docs)
+    chosen = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= train_docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
