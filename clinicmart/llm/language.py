@@ -24,7 +24,7 @@ BINS = 1 << 16
 #: of text and id. All texts that are predicted are read whole.
 TRAIN_DOCS = 5_000
 #: Rows ranked for each document to be learned from. Where copies of few texts are nearly all rows of
-#: a label, fewer documents are learned from.
+#: a label, fewer documents are learned from, at worst none; the label is then not a language.
 SPARE = 8
 #: Languages a model may have; more distinct labels are an error, as labels are then no languages.
 MAX_LANGUAGES = 500
