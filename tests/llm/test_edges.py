@@ -190,3 +190,12 @@ def test_pipeline_stages(spark, docs, none, benchmark, tmp_path):
             if name == "decontaminate" and table is docs:
                 assert 1 not in {r.doc_id for r in after.collect()}
             now = after
+
+
+def test_personal_data_in_long_runs_of_digits():
+    """A run of digits, and a text with many numbers, take time in proportion to their length."""
+    run, many = "7" * 200_000, " ".join(f"tel {i:09d}" for i in range(20_000))
+    assert list(personal.proposals(run)) == []
+    assert len([p for p in personal.proposals(many) if p[2] == "phone"]) == 20_000
+    detector = personal.learn_from([(k, label, (float(label),) * personal.FEATURES) for k in personal.KINDS for label in (0, 1) for _ in range(200)])
+    assert all(e - s >= 9 for s, _, e, _ in detector.spans(many)[1])
