@@ -562,6 +562,8 @@ SELECT *, {_rate('total_ausentes', 'total_fichas', 2)} AS tasa_ausentismo_pct FR
     q["drill_specialty"] = _drill("especialidad = 'BUILDING'", "centroSalud")
     q["drill_center"] = _drill("\"centroSalud\" = 'NATION_7'", "especialidad")
     q["drill_center_summary"] = q["drill_center"]
+    q["kpis_general_summary"] = q["kpis_general"]
+    q["monthly_series_summary"] = q["monthly_series"]
     q["drill_display"] = f"""
 SELECT especialidad AS "Especialidad", total_fichas AS "Fichas", atendidas AS "Atendidas",
        ausentes AS "Ausentes", canceladas AS "Canceladas", tasa_atencion AS "Atención %",

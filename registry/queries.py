@@ -459,6 +459,18 @@ def kpi_row_summary(spark, sf_dir):
     return slices.kpi_row(slices.slice_star(star, SOME), slices.star_saturation(star, SOME))
 
 
+@register
+def kpis_general_summary(spark, sf_dir):
+    """A1 from the stored summary of the fact."""
+    return views.general_kpis(marts.summary(spark, sf_dir))
+
+
+@register
+def monthly_series_summary(spark, sf_dir):
+    """A5 from the stored summary of the fact."""
+    return views.monthly_series(marts.summary(spark, sf_dir))
+
+
 @register
 def drill_center_summary(spark, sf_dir):
     """A12 from the stored summary of the fact."""

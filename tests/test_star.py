@@ -453,6 +453,16 @@ def test_summary_gives_the_same_slices(spark, star, tmp_path):
         assert kpis(stored, selection)[1] == kpis(star, selection)[1]
 
 
+def test_summary_gives_the_same_views(spark, star, tmp_path):
+    # Every ticket twice, so that each combination of keys stands for several tickets.
+    doubled = gold.Star(star.dims, star.fact.unionAll(star.fact))
+    summed = TierStore(spark, str(tmp_path)).write("s", gold.summarise(doubled).fact)
+    assert summed.count() < doubled.fact.count()
+    for name, build in views.VIEWS.items():
+        rows, small = table(build(doubled), "*"), table(build(gold.Star(star.dims, summed)), "*")
+        assert sorted(small, key=str) == sorted(rows, key=str), name
+
+
 def test_from_landed_files_to_acceptance(spark, tmp_path):
     from fixtures import CAMPAIGN_SCHEMA, CAMPAIGNS, TICKET_SCHEMA, TICKETS
 
