@@ -61,8 +61,8 @@ class TierStore:
         return {name: self.write(name, df) for name, df in tables.items()}
 
     def write_document(self, name: str, df: DataFrame) -> None:
-        """Store a small summary as JSON."""
-        target = self.root or self.spark.conf.get("spark.sql.warehouse.dir")
+        """Store a small summary as JSON, in the folder or in the location of the database."""
+        target = self.root or self.spark.catalog.getDatabase(self.database).locationUri.rstrip("/")
         df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{target}/{name}")
 
     def _path(self, name: str) -> str:

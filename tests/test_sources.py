@@ -126,3 +126,12 @@ def test_work_root_is_the_shared_folder(spark):
     root = work_root(spark)
     assert spark.sparkContext.applicationId in root
     assert base is None or root.startswith(base)
+
+
+def test_documents_of_two_databases_stay_apart(spark, tmp_path):
+    for name in ("doc_one", "doc_two"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{tmp_path}/{name}'")
+        TierStore(spark, database=name).write_document("summary", spark.createDataFrame([(name,)], "v string"))
+    for name in ("doc_one", "doc_two"):
+        assert spark.read.json(f"{tmp_path}/{name}/summary").first()["v"] == name
+        spark.sql(f"DROP DATABASE {name}")
