@@ -20,11 +20,11 @@ from clinicmart.llm import hashing
 from clinicmart.llm.common import bound_batches, named, saved, text_chunks, with_id
 
 BINS = 1 << 16
-#: Documents per language the trigram counts are taken from: those with the smallest hash
-#: of text and id. All texts that are predicted are read whole.
+#: Distinct texts per language the trigram counts are taken from: those with the smallest
+#: hash. All texts that are predicted are read whole.
 TRAIN_DOCS = 5_000
-#: Rows ranked for each document to be learned from. Where copies of few texts are nearly all rows of
-#: a label, fewer documents are learned from, at worst none; the label is then not a language.
+#: Hashes ranked for each text to be learned from, in the mean. They are hashes of distinct texts, so
+#: that eight times as many never hold too few; a label with fewer texts has all of them ranked.
 SPARE = 8
 #: Languages a model may have; more distinct labels are an error, as labels are then no languages.
 MAX_LANGUAGES = 500
@@ -58,19 +58,24 @@ def train(
     """Languages in order, and the log-probability of each trigram bin under each.
 
     Learns from rows with a text and a label; others are left out. Reads up to ``train_docs``
-    documents of each label, chosen by a hash, which Spark does per task before the shuffle.
-    Counts are summed per task and then by Spark; the driver gets one array per language.
-    No labelled row gives no language.
+    distinct texts of each label, chosen by a hash, so copies of a text count once. Hashes are
+    ranked, and only chosen texts are shuffled. Counts are summed per task and then by Spark; the
+    driver gets one array per language. No labelled row gives no language.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     rows = named(docs, lang=lang_column, text=text_column).filter("lang IS NOT NULL AND text IS NOT NULL")
-    # Far more than enough of the smallest hashes go to the ranking, whatever the size of a label.
-    labels = saved(rows.groupBy("lang").agg(F.count("*").alias("_all")), "labels")
+    rows = rows.withColumn("_hash", F.xxhash64("text"))
+    hashes = saved(rows.select("lang", "_hash").distinct(), "hashes")
+    # More than enough of the smallest hashes go to the ranking, whatever the size of a label.
+    labels = saved(hashes.groupBy("lang").agg(F.count("*").alias("_all")), "labels")
     upto = F.lit(-(2.0**63)) + F.lit(2.0**64) * SPARE * train_docs / F.col("_all")
-    near = rows.join(labels, "lang").filter(F.xxhash64("text").cast("double") <= upto)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"))
-    chosen = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= train_docs)
+    near = hashes.join(labels, "lang").filter(F.col("_hash").cast("double") <= upto)
+    order = Window.partitionBy("lang").orderBy("_hash")
+    first = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= train_docs)
+    # Stored, so that Spark knows how few they are. All copies of a text have its hash: one is taken.
+    first = saved(first.select("lang", "_hash"), "chosen")
+    chosen = rows.join(first, ["lang", "_hash"]).groupBy("lang", "_hash").agg(F.min("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
