@@ -179,8 +179,11 @@ def identify(
 
     ``lang_pred`` is the language with the largest share, ``score`` that share, ``noise`` the
     share of text that no language explains, ``langs`` the chosen languages and their
-    shares, largest first. A text that is null, empty or without a letter is ``und`` with score 0,
-    as is every text when the model has no language. Nothing but the text is read; a tie goes to
+    shares, largest first. Where noise holds the whole text, ``langs`` is empty, ``lang_pred`` the
+    language under which the text is likeliest and ``score`` its probability among the languages;
+    whether such a text is kept is for the caller to decide by ``noise``. A text that is null,
+    empty or without a letter is ``und`` with score 0, as is every text when the model has
+    no language. Nothing but the text is read; a tie goes to
     the first language in order. Repeated rows give repeated results.
     """
     spark = docs.sparkSession
@@ -203,10 +206,15 @@ def identify(
                 if len(live) and languages:
                     scores, begins = _unit_scores(probability, flat, place, end, first, live)
                     share = proportions(scores, begins)
-                    best = share[:, :-1].argmax(1)
-                    for i, row, k in zip(live.tolist(), share, best.tolist()):
-                        if row[k] > 0:
-                            lang[i], score[i] = languages[k], min(1.0, float(row[k]))
+                    # Where noise has the whole share, by the likelihood of the languages alone.
+                    total = _sums(scores[:, :-1].astype(np.float64), begins)
+                    alone = np.exp(total - total.max(1, keepdims=True))
+                    alone /= alone.sum(1, keepdims=True)
+                    held = share[:, :-1]
+                    sure = np.where((held > 0).any(1, keepdims=True), held, alone)
+                    best = sure.argmax(1)
+                    for i, row, k, chance in zip(live.tolist(), share, best.tolist(), sure.max(1).tolist()):
+                        lang[i], score[i] = languages[k], min(1.0, chance)
                         noise[i] = row[-1]
                         chosen[i] = [
                             {"lang": languages[c], "share": float(row[c])}
