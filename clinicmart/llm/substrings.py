@@ -1,17 +1,18 @@
-"""Repeated word windows by relative Lempel-Ziv parsing.
+"""Repeated word windows by content-defined phrases and window hashes.
 
-The reference is the corpus itself. Parsing every document against every block of it
-would read everything against everything, so both sides are cut where the content says
+A relative Lempel-Ziv parse would index the corpus in blocks and parse each document greedily
+against each of them, which reads everything against everything. No such parse takes place
+here. Both sides are cut where the content says
 so: the anchor of a window is its least hash of ``ANCHOR`` words, and consecutive windows
 with one anchor are a run. Equal windows have equal anchors. The runs are the phrases of
 the reference, its blocks are the hash partitions of the anchors, and a document meets
 exactly the blocks that hold one of its anchors.
 
-Factors are parsed greedily: a run whose whole phrase occurs again is a factor (and
-runs that follow each other a longer one). At the boundaries of factors, where an anchor
+In place of factors stand whole phrases: a run whose phrase occurs again is repeated (and
+runs that follow each other are a longer repeat). At their boundaries, where an anchor
 occurs again but the phrase around it differs, the windows are looked up one by one
 among those of all phrases with the anchor. As each phrase holds at least a whole
-window, all factors are long enough, and their words are the repeated spans.
+window, all are long enough, and their words are the repeated spans.
 
 Three passes over the texts: phrases, windows of the boundaries, removal. What is
 shuffled between them is hashes; phrases are reduced to one row and a count per task first.
