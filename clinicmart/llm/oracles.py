@@ -114,3 +114,80 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_a
   coalesce(spans, '') AS spans
 FROM d LEFT JOIN per USING (r)
 """
+
+
+def _bytes_of(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column}::VARCHAR END"
+
+
+#: crc32 of the decimal digits of an id, a bit at a time.
+_CRC = """xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), c -> ascii(c)::BIGINT)),
+    (s, b) -> list_reduce(list_concat([xor(s, b)], range(8)),
+      (x, i) -> xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"""
+
+#: More than any table here has: 3^13 documents of a source, and as many sources.
+_LEVELS = 13
+
+
+def _tree(name: str, base: str, levels: int) -> str:
+    """Nodes (t, p, h) of each level, until one is left; a run of one is hashed as well."""
+    out = f"{name}0 AS ({base})"
+    for i in range(levels):
+        out += f""",
+{name}{i + 1} AS (
+  SELECT t, p // 3 AS p, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE max(h) END AS h,
+    (max(n) + 2) // 3 AS n FROM {name}{i} GROUP BY t, p // 3
+)"""
+    return out
+
+
+def _proof(name: str, start: str, levels: int) -> str:
+    """Per request (r, t, p): the others of each level as ``pre`` and ``post``, in columns of lists."""
+    out = f"{start}"
+    for i in range(levels):
+        out = f"""
+  SELECT q.* REPLACE (
+    CASE WHEN n > 1 THEN list_concat(others, [coalesce(pre, '') || coalesce(post, '')]) ELSE others END AS others,
+    CASE WHEN n > 1 THEN list_concat(sides, [{{'a': coalesce(pre, ''), 'b': coalesce(post, '')}}]) ELSE sides END AS sides)
+  FROM ({out}) q JOIN (
+    SELECT t AS tt, p AS pp, n,
+      string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pre,
+      string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS post
+    FROM {name}{i} WINDOW w AS (PARTITION BY t, p // 3 ORDER BY p)
+  ) ON t = tt AND p // {3**i} = pp"""
+    return out
+
+
+_FIELDS = " || ".join(_bytes_of(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+ORACLES["op12_manifest"] = f"""
+WITH l AS (
+  SELECT doc_id, source, sha256({_FIELDS} || {_bytes_of("text")}) AS leaf,
+    CASE WHEN {_CRC} % 2 = 0 THEN sha256({_FIELDS} || {_bytes_of("replace(text, chr(10), '')")})
+      ELSE sha256({_FIELDS} || {_bytes_of("text")}) END AS claimed
+  FROM documents
+), o AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM l
+),
+{_tree("g", "SELECT t, p, leaf AS h, n FROM o", _LEVELS)},
+{_tree("s", f"SELECT 0 AS t, t AS p, h, (SELECT count(*) FROM g{_LEVELS}) AS n FROM g{_LEVELS}", _LEVELS)},
+low AS ({_proof("g", "SELECT t, p, doc_id, leaf, claimed, []::VARCHAR[] AS others, []::STRUCT(a VARCHAR, b VARCHAR)[] AS sides FROM o", _LEVELS)}),
+high AS ({_proof("s", "SELECT 0 AS t, t AS p, []::VARCHAR[] AS others, []::STRUCT(a VARCHAR, b VARCHAR)[] AS sides FROM (SELECT DISTINCT t FROM o)", _LEVELS)}),
+joined AS (
+  SELECT doc_id, leaf, claimed, g{_LEVELS}.h AS subroot, s{_LEVELS}.h AS root,
+    list_concat(low.others, high.others) AS others, list_concat(low.sides, high.sides) AS sides
+  FROM low JOIN high ON low.t = high.p JOIN g{_LEVELS} ON low.t = g{_LEVELS}.t, s{_LEVELS}
+), folded AS (
+  SELECT *, list_reduce(
+    list_concat([{{'a': claimed, 'b': ''}}], sides),
+    (x, y) -> {{'a': sha256(y.a || x.a || y.b), 'b': ''}}).a AS folded_root
+  FROM joined
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(others, '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM folded
+"""

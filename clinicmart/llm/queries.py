@@ -8,7 +8,20 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicmart.llm import decontaminate, language, lm, mixing, near_dups, personal, secrets, substrings, token_counts, vectors
+from clinicmart.llm import (
+    decontaminate,
+    language,
+    lm,
+    merkle,
+    mixing,
+    near_dups,
+    personal,
+    runs,
+    secrets,
+    substrings,
+    token_counts,
+    vectors,
+)
 from clinicmart.llm.common import held_out, table
 from clinicmart.llm.oracles import ORACLES
 from clinicmart.sources.store import work_root
@@ -94,9 +107,55 @@ def op10_tokens(spark: SparkSession, sf_dir: str, model: str | None = None) -> D
     return counted.withColumnRenamed("id", "doc_id")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document; every tenth id reads with a repeated tail."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed = F.when(h % 10 == 0, F.floor(h / 10))
+    return runs.digest(runs.periodic_runs(table(spark, sf_dir, "documents"), tail_seed=seed))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof for every document, folded with the text as it is or, for half of the ids, tampered."""
+    docs = table(spark, sf_dir, "documents")
+    before = [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars")]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf(*before, F.col("text")).alias("leaf"),
+        merkle.leaf(*before, tampered).alias("claimed"),
+    )
+    manifest = merkle.build(rows, "source", ["doc_id"], "leaf", keep=["doc_id", "claimed"])
+    found = merkle.prove(manifest)
+    folded = merkle.fold(F.col("item.claimed"), F.col("proof"))
+    return found.select(
+        F.col("item.doc_id").alias("doc_id"),
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language, op2_mix, op3_secrets, op4_substrings, op5_decontaminate, op6_lm, op7_vectors, op8_pii, op9_near_dups, op10_tokens)
+    for f in (
+        op1_language,
+        op2_mix,
+        op3_secrets,
+        op4_substrings,
+        op5_decontaminate,
+        op6_lm,
+        op7_vectors,
+        op8_pii,
+        op9_near_dups,
+        op10_tokens,
+        op11_runs,
+        op12_manifest,
+    )
 }
 
 
