@@ -122,9 +122,9 @@ def _bytes_of(column: str) -> str:
 
 #: crc32 of the decimal digits of an id, a bit at a time.
 _CRC = """xor(list_reduce(
-    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), c -> ascii(c)::BIGINT)),
-    (s, b) -> list_reduce(list_concat([xor(s, b)], range(8)),
-      (x, i) -> xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"""
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda s, b: list_reduce(list_concat([xor(s, b)], range(8)),
+      lambda x, i: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"""
 
 #: More than any table here has: 3^13 documents of a source, and as many sources.
 _LEVELS = 13
@@ -184,7 +184,7 @@ joined AS (
 ), folded AS (
   SELECT *, list_reduce(
     list_concat([{{'a': claimed, 'b': ''}}], sides),
-    (x, y) -> {{'a': sha256(y.a || x.a || y.b), 'b': ''}}).a AS folded_root
+    lambda x, y: {{'a': sha256(y.a || x.a || y.b), 'b': ''}}).a AS folded_root
   FROM joined
 )
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(others, '')) AS proof_sha256, folded_root,
