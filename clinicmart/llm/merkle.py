@@ -44,13 +44,15 @@ class Manifest:
 
     ``leaves``: ``(tree, place, size, digest, item)``, one per row; ``item`` is what the row came with.
     ``trees``: ``(tree, size, digest, top)``, the root of each group. ``records`` are those of
-    the trees, lowest level first, ``top`` those above the trees; ``root`` is none without rows.
+    the trees, lowest level first, ``top`` those above the trees. ``entry`` is the row of the
+    root and ``root`` its digest, none without rows.
     """
 
     leaves: DataFrame
     trees: DataFrame
     records: list[DataFrame]
     top: list[DataFrame]
+    entry: DataFrame
     root: str | None
 
 
@@ -91,10 +93,16 @@ def build(rows: DataFrame, group: str, order: Sequence[str], digest: str, keep:
     records, tops = _grow(leaves.drop("item"))
     trees = saved(tops, "trees")
     count = groups.count()
-    above = trees.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("place"), F.lit(count).cast("bigint").alias("size"), "digest")
-    top, root = _grow(above)
+    above = trees.select(
+        (F.col("tree") * 0).alias("tree"),
+        F.col("tree").alias("place"),
+        F.lit(count).cast("bigint").alias("size"),
+        "digest",
+    )
+    # Stored, so that joins from the root have a key and no constant.
+    top, root = _grow(saved(above, "above"))
     found = root.first()
-    return Manifest(leaves, trees, records, top, found and found.digest)
+    return Manifest(leaves, trees, records, top, root, found and found.digest)
 
 
 def _grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
@@ -238,13 +246,7 @@ def prove(manifest: Manifest, wanted: Column | None = None) -> DataFrame:
     down = trees.select(
         F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("place"), F.col("tree").alias("item")
     )
-    session = leaves.sparkSession
-    entry = session.range(1 if manifest.root else 0).select(
-        F.col("id").alias("tree"),
-        F.lit(len(manifest.top)).alias("top"),
-        F.lit(manifest.root).alias("digest"),
-        F.array().cast(_PATH).alias("path"),
-    )
+    entry = manifest.entry.select("tree", "top", "digest", F.array().cast(_PATH).alias("path"))
     arrived = _descend(manifest.top, entry, down)
     starts = arrived.select(F.col("item").alias("tree"), "digest", "path").join(
         manifest.trees.select("tree", "top"), "tree"

@@ -191,3 +191,33 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(others, '')) AS proof
   folded_root = root AS verified
 FROM folded
 """
+
+#: Bytes as hexadecimal digits, two for each; ids without a value come after all others.
+ORACLES["op13_suffixes"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS k,
+    hex(encode(coalesce(text, ''))) AS h
+  FROM documents
+), w AS (
+  SELECT r, k, unnest(range(0, len(h) // 2 - 49)) AS i, h FROM d
+), low AS (
+  SELECT r, k, i, min(k) OVER (PARTITION BY substr(h, 2 * i + 1, 100)) AS least FROM w
+), hit AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh
+  FROM low WHERE least < k
+), spans AS (
+  SELECT r, min(i) AS s, max(i) + 50 AS e
+  FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS run FROM hit) GROUP BY r, run
+), per AS (
+  SELECT r, list(s ORDER BY s) AS ss, list(e ORDER BY s) AS ee, count(*) AS n, sum(e - s) AS gone
+  FROM spans GROUP BY r
+), whole AS (
+  SELECT d.*, coalesce(n, 0) AS n, coalesce(gone, 0) AS gone, [0] || coalesce(ee, []) AS froms,
+    coalesce(ss, []) || [len(h) // 2] AS tos
+  FROM d LEFT JOIN per USING (r)
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, gone::BIGINT AS n_removed, n::BIGINT AS n_spans,
+  sha256(unhex(array_to_string(list_transform(range(1, len(tos) + 1),
+    lambda x: substr(h, 2 * froms[x] + 1, 2 * (tos[x] - froms[x]))), ''))) AS kept_sha256
+FROM whole
+"""

@@ -19,6 +19,7 @@ from clinicmart.llm import (
     runs,
     secrets,
     substrings,
+    suffixes,
     token_counts,
     vectors,
 )
@@ -140,6 +141,11 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that also start in one with a smaller id."""
+    return suffixes.digest(suffixes.repeated_bytes(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -155,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_tokens,
         op11_runs,
         op12_manifest,
+        op13_suffixes,
     )
 }
 
