@@ -44,7 +44,8 @@ class Manifest:
 
     ``leaves``: ``(tree, place, size, digest, item)``, one per row; ``item`` is what the row came with.
     ``trees``: ``(tree, size, digest, top)``, the root of each group. ``records`` are those of
-    the trees, lowest level first, ``top`` those above the trees. ``entry`` is the row of the
+    the trees, lowest level first, ``top`` those above the trees,
+    whose leaves are ``above``. ``entry`` is the row of the
     root and ``root`` its digest, none without rows.
     """
 
@@ -52,6 +53,7 @@ class Manifest:
     trees: DataFrame
     records: list[DataFrame]
     top: list[DataFrame]
+    above: DataFrame
     entry: DataFrame
     root: str | None
 
@@ -82,9 +84,9 @@ def build(rows: DataFrame, group: str, order: Sequence[str], digest: str, keep:
         keys += [F.col(f"`{column}`").isNotNull().alias(f"{name}_given"), F.col(f"`{column}`").alias(name)]
     narrow = saved(rows.select(*keys, F.col(f"`{digest}`").alias("digest"), item.alias("item")), "leaves")
     names = [f"{n}{part}" for n in flat for part in ("_given", "")]
-    ranked = dense_key(narrow, [*names, "digest"], "rank").select("g", "digest", "item", "rank")
+    ranked = dense_key(narrow, [*names, "digest"], "rank", stored=True).select("g", "digest", "item", "rank")
     groups = saved(ranked.groupBy("g").agg(F.min("rank").alias("first"), F.count("*").alias("size")), "groups")
-    groups = dense_key(groups, ["first"], "number")
+    groups = dense_key(groups, ["first"], "number", stored=True)
     groups = saved(groups.select(F.col("g").alias("_g"), "first", "size", (F.col("number") - 1).alias("tree")), "groups")
     leaves = ranked.join(groups, F.col("g").eqNullSafe(F.col("_g"))).select(
         "tree", (F.col("rank") - F.col("first")).alias("place"), "size", "digest", "item"
@@ -100,9 +102,10 @@ def build(rows: DataFrame, group: str, order: Sequence[str], digest: str, keep:
         "digest",
     )
     # Stored, so that joins from the root have a key and no constant.
-    top, root = _grow(saved(above, "above"))
+    above = saved(above, "above")
+    top, root = _grow(above)
     found = root.first()
-    return Manifest(leaves, trees, records, top, root, found and found.digest)
+    return Manifest(leaves, trees, records, top, above, root, found and found.digest)
 
 
 def _grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
@@ -242,10 +245,10 @@ def prove(manifest: Manifest, wanted: Column | None = None) -> DataFrame:
     """
     leaves = manifest.leaves if wanted is None else manifest.leaves.filter(wanted)
     requests = leaves.select("tree", "place", "item")
-    trees = requests.select("tree").distinct() if wanted is not None else manifest.trees.select("tree")
-    down = trees.select(
-        F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("place"), F.col("tree").alias("item")
-    )
+    down = manifest.above.select("tree", "place", F.col("place").alias("item"))
+    if wanted is not None:
+        down = down.join(requests.select(F.col("tree").alias("item")).distinct(), "item", "left_semi")
+        down = down.select("tree", "place", "item")
     entry = manifest.entry.select("tree", "top", "digest", F.array().cast(_PATH).alias("path"))
     arrived = _descend(manifest.top, entry, down)
     starts = arrived.select(F.col("item").alias("tree"), "digest", "path").join(

@@ -207,6 +207,50 @@ def test_token_counts(spark, docs):
         assert (row.n_bytes, row.n_tokens, row.over_limit) == (len(text.encode()), n, n > 4096)
 
 
+def repetitive(words, doc_id):
+    """Every tenth id reads with a repeated tail."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def periodic(words):
+    """Maximal stretches per period; of equal ones that with the smallest period."""
+    found = {}
+    for q in range(1, len(words) // 4 + 1):
+        same = [x == y for x, y in zip(words, words[q:])] + [False]
+        start = None
+        for i, s in enumerate(same):
+            if s and start is None:
+                start = i
+            elif not s and start is not None:
+                if i + q - start >= max(6, 4 * q):
+                    found.setdefault((start, i + q), q)
+                start = None
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def test_periodic_runs(spark, docs):
+    rows = found(spark, "op11_runs")
+    assert rows.keys() == {d["doc_id"] for d in docs}
+    seen = 0
+    for d in docs:
+        words = repetitive(WORD.findall(d["text"] or ""), d["doc_id"])
+        stretches = periodic(words)
+        seen += len(stretches)
+        drop = {i for s, n, q in stretches for i in range(s + q, s + n)}
+        best = min(stretches, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        longest = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in stretches)
+        kept = " ".join(w for i, w in enumerate(words) if i not in drop)
+        assert tuple(rows[d["doc_id"]]) == (d["doc_id"], len(stretches), *longest, sha(lines), sha(kept))
+    assert seen > 10
+
+
 def windows_of(words):
     size = min(10, len(words))
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()

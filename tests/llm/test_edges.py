@@ -8,11 +8,14 @@ from clinicmart.llm import (
     decontaminate,
     language,
     lm,
+    merkle,
     mixing,
     near_dups,
     personal,
+    runs,
     secrets,
     substrings,
+    suffixes,
     token_counts,
     vectors,
 )
@@ -174,6 +177,136 @@ def test_token_counts(docs, none):
     assert token_counts.count_tokens(none, MODEL).count() == 0
 
 
+def test_periodic_runs(docs, none):
+    found = by_id(runs.periodic_runs(docs))
+    assert [(r.n_words, r.runs) for r in found[1]] == [(15, [])] * 2
+    assert [(found[i][0].n_words, found[i][0].runs, found[i][0].collapsed) for i in (2, 3, 6)] == [(0, [], "")] * 3
+    # The long text has a period of 997 * 13 words, and so four of them.
+    assert [tuple(r) for r in found[5][0].runs] == [(0, 60_000, 997 * 13)]
+    assert found[5][0].collapsed == " ".join(LONG.split()[: 997 * 13])
+    assert runs.periodic_runs(none).count() == 0
+    tail = by_id(runs.periodic_runs(docs, tail_seed=F.when(F.col("doc_id") == 1, F.lit(30))))
+    # From word 0 on, the first 1 + 15 // 9 words over and over.
+    assert [tuple(r) for r in tail[1][0].runs] == [(0, 15, 2)] and tail[1][0].collapsed == "the quick"
+    digests = by_id(runs.digest(runs.periodic_runs(docs)), "doc_id")
+    assert digests[5][0].exponent_milli == 1000 * 60_000 // (997 * 13)
+    assert tuple(digests[3][0])[1:6] == (0, None, None, None, None)
+
+
+def test_periodic_runs_of_one_word(spark):
+    words = ["a"] * 5 + ["b"] * 6 + ["a", "b"] * 5 + ["c"] * 3000
+    found = runs.periodic_runs(spark.createDataFrame([(1, " ".join(words))], "doc_id bigint, text string")).first()
+    # The last b of the second run and the next word belong to the run of pairs as well.
+    assert [tuple(r) for r in found.runs] == [(5, 6, 1), (10, 11, 2), (21, 3000, 1)]
+
+
+def test_manifest(spark, docs, none):
+    rows = docs.withColumn("leaf", merkle.leaf(F.col("doc_id"), F.col("text")))
+    manifest = merkle.build(rows, "source", ["doc_id"], "leaf", keep=["doc_id", "key"])
+    found = merkle.prove(manifest)
+    got = found.withColumn("folded", merkle.fold(F.col("digest"), F.col("proof"))).collect()
+    assert len(got) == len(ROWS) and {r.folded for r in got} == {manifest.root}
+    assert {r["item"].key for r in got} == {"x"}
+    # Groups: null with one row, a with four, b with three.
+    assert sorted(len(r.proof) for r in got) == [1, 2, 2, 2, 3, 3, 3, 3]
+    assert {r.subroot for r in got if r.group is None} == {r.digest for r in got if r.group is None}
+    # A wrong leaf gives another root; a request for some leaves gives the same proofs.
+    wrong = found.select(merkle.fold(F.lit("0" * 64), F.col("proof")).alias("root")).collect()
+    assert manifest.root not in {r.root for r in wrong}
+    some = merkle.prove(manifest, F.col("item.doc_id") == 5).collect()
+    assert [r.proof for r in some] == [r.proof for r in got if r["item"].doc_id == 5]
+    empty = merkle.build(rows.filter("false"), "source", ["doc_id"], "leaf", keep=["doc_id"])
+    assert empty.root is None and merkle.prove(empty).count() == 0
+
+
+@pytest.mark.parametrize("rows", [1, 3, 4, 81, 82, 244, 300])
+def test_manifest_sizes(spark, rows):
+    import hashlib
+
+    def parent(digests):
+        return hashlib.sha256("".join(digests).encode()).hexdigest()
+
+    df = spark.range(rows).select(F.lit("s").alias("g"), "id", F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
+    manifest = merkle.build(df, "g", ["id"], "leaf")
+    level = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(rows)]
+    while len(level) > 1:
+        level = [parent(level[i : i + 3]) for i in range(0, len(level), 3)]
+    assert manifest.root == level[0]
+    proofs = merkle.prove(manifest).select(merkle.fold(F.col("digest"), F.col("proof")).alias("root"))
+    assert proofs.distinct().collect() == [(level[0],)]
+    assert proofs.count() == rows
+
+
+def test_repeated_bytes(docs, none):
+    found = by_id(suffixes.repeated_bytes(docs))
+    # Rows that repeat an id are one document and remove nothing of each other.
+    assert [(r.n_bytes, r.n_removed, r.spans) for r in found[1]] == [(71, 0, [])] * 2
+    assert [(found[i][0].n_bytes, bytes(found[i][0].kept)) for i in (2, 3)] == [(0, b"")] * 2
+    # The long text repeats itself, which does not count.
+    assert (found[5][0].n_bytes, found[5][0].n_removed) == (len(LONG), 0)
+    assert suffixes.repeated_bytes(none).count() == 0
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {},
+        {"CELL_BYTES": 3000, "RANGE_BYTES": 5000, "BUCKET_BYTES": 9000},
+        {"CELL_BYTES": 3000, "RANGE_BYTES": 5000, "BUCKET_BYTES": 9000, "FREQUENT": 1, "_AT_ONCE": 100},
+    ],
+)
+def test_repeated_bytes_of_shared_passages(spark, monkeypatch, sizes):
+    """Many cells and ranges, frequent anchors, passages of about the length, null and repeated ids."""
+    import random
+
+    for name, value in sizes.items():
+        monkeypatch.setattr(suffixes, name, value)
+    draw = random.Random(5)
+    passages = ["".join(draw.choice("abcé \n") for _ in range(draw.choice([49, 50, 51, 80, 300]))) for _ in range(20)]
+
+    def piece():
+        kind = draw.random()
+        if kind < 0.5:
+            return draw.choice(passages)
+        return "x" * draw.randint(1, 150) if kind < 0.6 else "".join(draw.choices("abcdefghij klm", k=draw.randint(1, 200)))
+
+    table = [
+        (i if draw.random() > 0.05 else draw.choice([None, i // 2]), "".join(piece() for _ in range(draw.randint(0, 5))))
+        for i in range(150)
+    ]
+    last = 1 << 62
+    least = {}
+    for i, text in table:
+        data = text.encode()
+        for j in range(len(data) - 49):
+            least[data[j : j + 50]] = min(least.get(data[j : j + 50], last), last if i is None else i)
+    expected = []
+    for i, text in table:
+        data = text.encode()
+        gone = {j + k for j in range(len(data) - 49) if least[data[j : j + 50]] < (last if i is None else i) for k in range(50)}
+        expected.append((str(i), len(data), len(gone), bytes(c for j, c in enumerate(data) if j not in gone)))
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(4)
+    got = suffixes.repeated_bytes(df).collect()
+    assert sorted((str(r.id), r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == sorted(expected)
+    assert all(r.n_removed == sum(s.end - s.start for s in r.spans) for r in got)
+
+
+def test_components_in_one_task_and_in_rounds(spark):
+    import random
+
+    from clinicmart.llm import graph
+
+    draw = random.Random(3)
+    links = [(draw.randrange(400), draw.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 540)]
+    links += [(None, 3), (7, 7), (-5, 500)]
+    df = spark.createDataFrame(links, "a bigint, b bigint").repartition(5)
+    one = {r.id: r.component for r in graph.components(df).collect()}
+    rounds = {r.id: r.component for r in graph.components(df, one_task=0).collect()}
+    assert one == rounds and one[540] == one[500] == -5
+    half = graph.components(df.filter("a % 2 = 0"))
+    assert {r.id: r.component for r in graph.extended(half, df.filter("a % 2 != 0")).collect()} == one
+
+
 def test_pipeline_stages(spark, docs, none, benchmark, tmp_path):
     folder = str(tmp_path)
     benchmark.write.parquet(f"{folder}/benchmark.parquet")
