@@ -20,6 +20,12 @@ def lenient_timestamp(col: Column, *formats: str) -> Column:
     return F.coalesce(*parsed) if formats else parsed[0]
 
 
+def unread(col: Column, *formats: str) -> Column:
+    """Whether there is something that is no timestamp in any of the formats."""
+    text = strip(col.cast("string"))
+    return (F.coalesce(text, F.lit("")) != "") & lenient_timestamp(col, *formats).isNull()
+
+
 def lenient_number(col: Column, dtype: DataType) -> Column:
     """Double, or null. ``dtype`` is the type of ``col`` in its frame."""
     if isinstance(dtype, StringType):

@@ -9,12 +9,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicmart.sources.store import work_root
+from clinicmart.sources.store import remove_folder, work_root
 
 ROWS_PER_RANGE = 1_000_000
 #: Small tables are split too, so that a table takes the same way at every size.
 LEAST_RANGES = 4
 
+_FOLDER = "ranges"
 # monotonically_increasing_id puts the task number above 33 bits of row number.
 _ROW_BITS = 33
 
@@ -24,6 +25,7 @@ def dense_key(
     order_by: Sequence[str],
     name: str,
     rows_per_range: int = ROWS_PER_RANGE,
+    stored: bool = False,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows 1..n in ascending order, nulls last.
@@ -36,14 +38,20 @@ def dense_key(
     cannot change a number. The size of the table only decides how many ranges
     there are.
 
-    ``probe`` may be a frame with as many rows that is cheaper to count, such
-    as the stored table ``df`` is derived from.
+    Counting rows and sampling their order come before the shuffle, and each would compute ``df`` again. So
+    it is stored first, unless ``stored`` says that it reads a stored table and computes little. Do joins
+    on the numbered rows, not before. ``probe`` may be a frame with as many rows that is cheaper to count.
+    ``release`` removes what is stored here once the result is written.
     """
-    total = (df if probe is None else probe).count()
-    ranges = max(LEAST_RANGES, ceil(total / rows_per_range))
-    path = f"{work_root(df.sparkSession)}/ranges/{uuid4().hex}"
-    place_ranges(df, order_by, ranges).write.parquet(path)
-    placed = df.sparkSession.read.parquet(path)
+    path = f"{work_root(df.sparkSession)}/{_FOLDER}/{uuid4().hex}"
+    if not stored:
+        df.write.parquet(f"{path}/rows")
+        df = df.sparkSession.read.parquet(f"{path}/rows")
+    ranges = max(LEAST_RANGES, ceil((df if probe is None else probe).count() / rows_per_range))
+    place_ranges(df, order_by, ranges).write.parquet(f"{path}/ranges")
+    if not stored:
+        remove_folder(df.sparkSession, f"{path}/rows")
+    placed = df.sparkSession.read.parquet(f"{path}/ranges")
 
     in_range = placed.groupBy("_range").agg(F.max("_place").alias("_last"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -58,6 +66,15 @@ def dense_key(
     )
 
 
+def release(df: DataFrame) -> None:
+    """Remove the ranges that a numbered frame reads, once what is made of it has been written."""
+    root = f"{work_root(df.sparkSession)}/{_FOLDER}/"
+    inside = root.split("://")[-1].lstrip("/")
+    found = {f.split(inside, 1)[1].split("/", 1)[0] for f in df.inputFiles() if inside in f}
+    for folder in found:
+        remove_folder(df.sparkSession, root + folder)
+
+
 def place_ranges(df: DataFrame, order_by: Sequence[str], ranges: int) -> DataFrame:
     """Sort into ranges of the order; adds the range and the row's place in it, from 0."""
     order = [F.col(c).asc_nulls_last() for c in order_by]

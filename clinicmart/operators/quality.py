@@ -10,20 +10,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-REPORT_COLUMNS = ("regla", "columna", "violaciones")
+from clinicmart.operators.joins import lookup
+
+_REPORT = "regla string, columna string, violaciones bigint"
 
 
 class QualityError(AssertionError):
     """At least one rule is violated."""
 
 
-def _stack(pairs: Mapping[str, str], names: tuple[str, str]) -> str:
-    """SQL text that turns one wide row into (label, value) rows."""
-    cells = ", ".join(f"'{label}', `{column}`" for label, column in pairs.items())
-    return f"stack({len(pairs)}, {cells}) AS ({names[0]}, {names[1]})"
+def _stack(pairs: Mapping[str, str], names: tuple[str, str]) -> Column:
+    """Columns that turn one wide row into (label, value) rows."""
+    cells = [part for label, column in pairs.items() for part in (F.lit(label), F.col(f"`{column}`"))]
+    return F.stack(F.lit(len(pairs)), *cells).alias(*names)
 
 
 def null_profile(df: DataFrame, table: str) -> DataFrame:
@@ -34,7 +37,7 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)],
     )
     pairs = {c: f"n{i}" for i, c in enumerate(columns)}
-    long = counts.selectExpr("filas", _stack(pairs, ("columna", "nulos")))
+    long = counts.select("filas", _stack(pairs, ("columna", "nulos")))
     return long.select(F.lit(table).alias("tabla"), "columna", "filas", "nulos")
 
 
@@ -64,6 +67,98 @@ def uniqueness(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
     )
 
 
+def _checks(columns: Sequence[str], minimum: Mapping[str, float] | None) -> dict[str, Column]:
+    """Label -> whether a row violates it."""
+    checks = {c: F.col(f"`{c}`").isNull() for c in columns}
+    for column, low in (minimum or {}).items():
+        checks[f"{column}>={low}"] = ~F.coalesce(F.col(column) >= F.lit(low), F.lit(False))
+    return checks
+
+
+class Counted:
+    """What is counted while a table is written: rows, nulls per column, and rules.
+
+    ``rules`` are ``(rule, required columns, minimum values)``, as in ``completeness``. The counts
+    ride on the write itself, in its last stage, where each task counts once however often it is
+    run; so a table that was written with them needs no further scan for these rules.
+    """
+
+    def __init__(self, df: DataFrame, *rules: tuple[str, Sequence[str], Mapping[str, float] | None]):
+        self.columns = df.columns
+        self.spark = df.sparkSession
+        self._observation = Observation()
+        self._rules = [(rule, _checks(columns, minimum)) for rule, columns, minimum in rules]
+        broken = [c for _, checks in self._rules for c in checks.values()]
+        self.df = df.observe(
+            self._observation,
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(self.columns)],
+            *[F.count_if(c).alias(f"r{i}") for i, c in enumerate(broken)],
+        )
+
+    @property
+    def rows(self) -> int:
+        """The number of rows written."""
+        return self._observation.get["rows"]
+
+    def nulls(self) -> dict[str, int]:
+        """Column -> nulls."""
+        counts = self._observation.get
+        return {c: counts[f"n{i}"] for i, c in enumerate(self.columns)}
+
+    def report(self) -> DataFrame:
+        """The rules, one row each, as ``completeness`` gives them."""
+        counts = self._observation.get
+        labels = [(rule, label) for rule, checks in self._rules for label in checks]
+        rows = [(*label, counts[f"r{i}"]) for i, label in enumerate(labels)]
+        return self.spark.createDataFrame(rows, _REPORT)
+
+
+def counted_summary(tables: Mapping[str, Counted]) -> DataFrame:
+    """The row of ``null_summary``, from what was counted while the tables were written."""
+    spark = next(iter(tables.values())).spark
+    rows = {f"filas_{name}": counted.rows for name, counted in tables.items()}
+    nulls = {f"nulos_{name}": counted.nulls() for name, counted in tables.items()}
+    fields = [f"{name} bigint" for name in rows]
+    for name, counts in nulls.items():
+        inner = ", ".join(f"`{c}`: bigint" for c in counts)
+        fields.append(f"{name} struct<{inner}>")
+    cells = (*rows.values(), *[tuple(c.values()) for c in nulls.values()])
+    return spark.createDataFrame([cells], StructType.fromDDL(", ".join(fields)))
+
+
+def unique_numbers(df: DataFrame, key: str, rule: str) -> DataFrame:
+    """``uniqueness`` of a whole number that is dense, by bitmaps of 32,768 numbers.
+
+    A sorted column leaves few bitmaps in each task, so some bits a row are shuffled. A null
+    counts as a value.
+    """
+    number = F.col(f"`{key}`")
+    maps = (
+        df.groupBy(F.bitmap_bucket_number(number).alias("bucket"))
+        .agg(F.count("*").alias("n"), F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+    )
+    distinct = F.when(F.col("bucket").isNull(), F.lit(1)).otherwise(F.bitmap_count("bits"))
+    extra = F.coalesce(F.sum(F.col("n") - distinct), F.lit(0)).cast("bigint")
+    return maps.agg(extra.alias("violaciones")).select(
+        F.lit(rule).alias("regla"), F.lit(key).alias("columna"), "violaciones"
+    )
+
+
+def fan_out(df: DataFrame, reference: DataFrame, on: Sequence[str], rule: str) -> DataFrame:
+    """How often a lookup of ``df`` in ``reference`` would repeat a row: rows that meet several.
+
+    Only keys that occur on both sides count; null is a value, as in ``lookup``.
+    """
+    several = reference.groupBy(*on).agg(F.count("*").alias("_n")).filter("_n > 1")
+    used = df.groupBy(*on).agg(F.count("*").alias("_rows"))
+    met = lookup(used, several, on, "inner")
+    extra = F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint")
+    return met.agg(extra.alias("violaciones")).select(
+        F.lit(rule).alias("regla"), F.lit(",".join(on)).alias("columna"), "violaciones"
+    )
+
+
 def completeness(
     df: DataFrame, columns: Sequence[str], rule: str, minimum: Mapping[str, float] | None = None
 ) -> DataFrame:
@@ -71,12 +166,10 @@ def completeness(
 
     A null also violates a minimum.
     """
-    checks = {c: F.col(c).isNull() for c in columns}
-    for column, low in (minimum or {}).items():
-        checks[f"{column}>={low}"] = ~F.coalesce(F.col(column) >= F.lit(low), F.lit(False))
+    checks = _checks(columns, minimum)
     counts = df.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(checks.values())])
     pairs = {label: f"c{i}" for i, label in enumerate(checks)}
-    long = counts.selectExpr(_stack(pairs, ("columna", "violaciones")))
+    long = counts.select(_stack(pairs, ("columna", "violaciones")))
     return long.select(F.lit(rule).alias("regla"), "columna", "violaciones")
 
 
@@ -96,10 +189,12 @@ def orphans(
     types |= {dim.schema[key].dataType.simpleString() for dim, key in references.values()}
     shared = types.pop() if len(types) == 1 else "string"
     keys = fact.select(*[F.col(c).cast(shared).alias(c) for c in references])
+    # Facts share few combinations of keys, so that they shrink before they are stacked.
+    combined = keys.groupBy(*references).agg(F.count("*").alias("n"))
     used = (
-        keys.selectExpr(_stack(pairs, ("columna", "clave")))
+        combined.select("n", _stack(pairs, ("columna", "clave")))
         .groupBy("columna", "clave")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     known = reduce(
         DataFrame.unionByName,

@@ -19,6 +19,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def single_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows as they are, for a source that repeats no key; a repeated key raises when it is read.
+
+    Without an order there is no first row to keep, and any choice would differ from run to run.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    repeated = F.raise_error(F.lit(f"a key of {list(keys)} is repeated and no order is stated")).cast("boolean")
+    return df.withColumn("_rank", rank).filter(F.when(F.col("_rank") > 1, repeated).otherwise(True)).drop("_rank")
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop rows with a null in any of the columns."""
     return df.dropna(subset=list(columns))
@@ -28,11 +38,13 @@ def first_complete(
     df: DataFrame,
     keys: Sequence[str],
     required: Sequence[str],
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """First row per key, then drop incomplete rows: an incomplete first row removes its key.
 
+    Without ``order_by`` no key may be repeated.
+
     ``prepare`` runs in between, on the rows that are left and spread evenly by
     the shuffle; it must not change the keys. Rows without a key would
     collapse to one row and then be dropped, so when the key is required they
@@ -40,7 +52,7 @@ def first_complete(
     """
     always = [k for k in keys if k in required]
     keyed = require(df, always) if always else df
-    first = first_per_key(keyed, keys, order_by)
+    first = single_per_key(keyed, keys) if order_by is None else first_per_key(keyed, keys, order_by)
     return require(prepare(first) if prepare else first, required)
 
 

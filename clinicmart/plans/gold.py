@@ -95,19 +95,44 @@ def center_dimension(centers: DataFrame) -> DataFrame:
 
 def label_dimension(df: DataFrame, label: str, key: str) -> DataFrame:
     """Distinct labels numbered in ascending order; a null label comes last."""
-    return dense_key(df.select(label).distinct(), [label], key).select(key, label)
+    return label_dimensions(df, {label: key})[label]
+
+
+def label_dimensions(df: DataFrame, labels: Mapping[str, str]) -> dict[str, DataFrame]:
+    """A dimension for each label, from one scan: label -> (key, label).
+
+    The distinct combinations of labels are stacked and numbered together, by label and
+    value; a key counts from the first of its label.
+    """
+    cells = [part for i, label in enumerate(labels) for part in (F.lit(i), F.col(label).cast("string"))]
+    combined = df.select(*labels).distinct()
+    values = combined.select(F.stack(F.lit(len(labels)), *cells).alias("_label", "_value")).distinct()
+    numbered = dense_key(values, ["_label", "_value"], "_n")
+    first = numbered.groupBy("_label").agg(F.min("_n").alias("_first"))
+    keyed = numbered.join(first, "_label")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return {
+        label: keyed.filter(F.col("_label") == i).select(
+            (F.col("_n") - F.col("_first") + 1).alias(key), F.col("_value").cast(types[label]).alias(label)
+        )
+        for i, (label, key) in enumerate(labels.items())
+    }
+
+
+# Label of a ticket -> key of its dimension.
+TICKET_LABELS = {"especialidad": "especialidad_key", "canalReserva": "canal_key", "estado": "estado_key"}
 
 
 def specialty_dimension(tickets: DataFrame) -> DataFrame:
-    return label_dimension(tickets, "especialidad", "especialidad_key")
+    return label_dimension(tickets, "especialidad", TICKET_LABELS["especialidad"])
 
 
 def channel_dimension(tickets: DataFrame) -> DataFrame:
-    return label_dimension(tickets, "canalReserva", "canal_key")
+    return label_dimension(tickets, "canalReserva", TICKET_LABELS["canalReserva"])
 
 
 def state_dimension(tickets: DataFrame) -> DataFrame:
-    return label_dimension(tickets, "estado", "estado_key")
+    return label_dimension(tickets, "estado", TICKET_LABELS["estado"])
 
 
 def campaign_type_dimension(campaigns: DataFrame) -> DataFrame:
@@ -126,12 +151,13 @@ def context_dimension(indicator: DataFrame) -> DataFrame:
 def build_dimensions(
     tickets: DataFrame, centers: DataFrame, indicator: DataFrame
 ) -> Dimensions:
+    labels = label_dimensions(tickets, TICKET_LABELS)
     return Dimensions(
         calendar=calendar_dimension(tickets),
         center=center_dimension(centers),
-        specialty=specialty_dimension(tickets),
-        channel=channel_dimension(tickets),
-        state=state_dimension(tickets),
+        specialty=labels["especialidad"],
+        channel=labels["canalReserva"],
+        state=labels["estado"],
         context=context_dimension(indicator),
     )
 
@@ -146,24 +172,20 @@ def visit_fact(
 ) -> DataFrame:
     """One row per ticket with its dimension keys, flags and measures.
 
-    Descriptions are swapped for keys first, so that the shuffle behind the
-    numbering moves narrow rows. Rows are numbered in ``order_by``; numbering
+    ``tickets`` is a stored table. Rows are numbered in ``order_by`` before descriptions are swapped for
+    keys, so that each lookup runs once, on the way to where the fact is written. Numbering
     by reservation time also leaves the rows of a period next to each other,
     so a stored fact is clustered by date without a shuffle of its own.
     """
-    joined = lookup(
-        ticket_measures(tickets), dims.calendar.select("fecha_key", "fecha", "anio"),
-        ["fecha", "anio"],
-    )
+    numbered = dense_key(ticket_measures(tickets), order_by, "atencion_key", stored=True)
+    # Each dimension has one row per value, so the rows stay those of tickets.
+    joined = lookup(numbered, dims.calendar.select("fecha_key", "fecha", "anio"), ["fecha", "anio"])
     joined = lookup(joined, dims.center, list(CENTER_COLUMNS))
     joined = lookup(joined, dims.specialty, ["especialidad"])
     joined = lookup(joined, dims.channel, ["canalReserva"])
     joined = lookup(joined, dims.state, ["estado"])
     joined = lookup(joined, dims.context.select("contexto_key", "anio"), ["anio"])
-    keys = [c for c in FACT_COLUMNS if c != "atencion_key"]
-    narrow = joined.select(*keys, *[c for c in order_by if c not in keys])
-    # Each dimension has one row per value, so the rows are those of tickets.
-    return dense_key(narrow, order_by, "atencion_key", probe=tickets).select(*FACT_COLUMNS)
+    return joined.select(*FACT_COLUMNS)
 
 
 def ticket_measures(tickets: DataFrame) -> DataFrame:
@@ -261,8 +283,12 @@ def star_wide(
     )
 
 
-def gold_rules(star: Star) -> DataFrame:
-    """Keys unique, required keys present, every key found in its dimension."""
+#: What is counted while the fact is written.
+FACT_COUNTS = ("claves completas", REQUIRED_FACT_KEYS, None)
+
+
+def key_rules(star: Star) -> DataFrame:
+    """Keys unique, every key found in its dimension. Two scans of the fact, of its keys only."""
     references = {
         column: (star.dims.tables()[table], key) for column, (table, key) in FACT_KEYS.items()
     }
@@ -274,7 +300,48 @@ def gold_rules(star: Star) -> DataFrame:
     ]
     return quality.merge_reports(
         *primary,
-        quality.uniqueness(star.fact, ["atencion_key"], "clave FactAtenciones"),
-        quality.completeness(star.fact, REQUIRED_FACT_KEYS, "claves completas"),
+        quality.unique_numbers(star.fact, "atencion_key", "clave FactAtenciones"),
         quality.orphans(star.fact, references, OPTIONAL_FACT_KEYS),
     )
+
+
+def gold_rules(star: Star) -> DataFrame:
+    """All checks on a stored star: its keys, and required keys present."""
+    rule, columns, _ = FACT_COUNTS
+    return quality.merge_reports(key_rules(star), quality.completeness(star.fact, columns, rule))
+
+
+def campaign_lookup_rules(campaigns: DataFrame, centers: DataFrame, types: DataFrame) -> DataFrame:
+    """Whether the names that campaigns refer by stand for one centre and one type each.
+
+    Two centres of one name would repeat each of their campaigns, so this is asked before the lookup.
+    """
+    return quality.merge_reports(
+        quality.fan_out(campaigns, centers, ["centroSalud"], "centro ambiguo"),
+        quality.fan_out(campaigns, types, ["tipo"], "tipo ambiguo"),
+    )
+
+
+#: What is counted while the campaign fact is written. A campaign may have no known centre.
+CAMPAIGN_FACT_COUNTS = (
+    "claves campanas", ["campana_key", "codigoCampana", "tipo_campana_key", "fecha_inicio_key", "fecha_fin_key"], None,
+)
+
+
+def campaign_key_rules(fact: DataFrame, centers: DataFrame, types: DataFrame) -> DataFrame:
+    """Campaign keys unique, every centre and type found."""
+    references = {"centro_key": (centers, "centro_key"), "tipo_campana_key": (types, "tipo_campana_key")}
+    return quality.merge_reports(
+        quality.uniqueness(types, ["tipo_campana_key"], "clave DimTipoCampana"),
+        quality.unique_numbers(fact, "campana_key", "clave FactCampanas"),
+        quality.uniqueness(fact, ["codigoCampana"], "campanas unicas en FactCampanas"),
+        quality.orphans(fact, references, ["centro_key"], "referencia campanas"),
+    )
+
+
+def campaign_rules(fact: DataFrame, centers: DataFrame, types: DataFrame) -> DataFrame:
+    """All checks on a stored campaign star."""
+    rule, columns, _ = CAMPAIGN_FACT_COUNTS
+    return quality.merge_reports(
+        campaign_key_rules(fact, centers, types), quality.completeness(fact, columns, rule)
+    )

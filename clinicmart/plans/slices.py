@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from clinicmart.functions import dates, measures
 from clinicmart.operators.rows import is_empty, rename_columns
-from clinicmart.plans.gold import Star, star_wide
-from clinicmart.plans.views import daily_saturation
+from clinicmart.plans.gold import Star, fact_of_years, star_wide
+from clinicmart.plans.views import attended_waits, daily_saturation
 from clinicmart.schema import (
     CLOSED_STATES,
     DETAIL_COLUMNS,
     DRILL_DISPLAY,
     NOSHOW_BANDS,
+    OPTIONAL_FACT_KEYS,
     SATURATION_BANDS,
+    STATE_FLAGS,
     WAIT_COUNT,
 )
 
@@ -57,6 +59,102 @@ def slice_star(star: Star, selection: Selection, extra: Sequence[str] = ()) -> D
     return slice_wide(star_wide(star, selection.years, extra), selection)
 
 
+# Column of a slice -> (key of the fact and of the dimension, dimension).
+_SOURCES = {
+    **dict.fromkeys(("fecha", "anio", "mes", "nombre_mes"), ("fecha_key", "calendar")),
+    **dict.fromkeys(("departamento", "ciudad", "centroSalud", "capacidadDiaria"), ("centro_key", "center")),
+    "especialidad": ("especialidad_key", "specialty"),
+    "canalReserva": ("canal_key", "channel"),
+    "estado": ("estado_key", "state"),
+    "valor_cepal": ("contexto_key", "context"),
+}
+
+
+def _matching(star: Star, selection: Selection) -> dict[str, DataFrame]:
+    """Fact key -> the keys a selection allows, from the dimensions alone."""
+    chosen = {"anio": selection.years, "centroSalud": selection.centers, "especialidad": selection.specialties}
+    return {
+        _SOURCES[c][0]: getattr(star.dims, _SOURCES[c][1]).filter(_chosen(c, values)).select(_SOURCES[c][0])
+        for c, values in chosen.items()
+    }
+
+
+def slice_groups(star: Star, selection: Selection | None, by: Sequence[str]) -> DataFrame:
+    """A slice summed up per value of some columns, with the number of waits beside their sum.
+
+    The selection becomes key sets of the dimensions, which drop rows of the fact as it is scanned;
+    what is left is summed per key before it meets a dimension, and then only those that
+    ``by`` needs. The series, distributions and drill-downs below take such a frame as they take
+    a slice; those of attended tickets need ``estado`` among the columns. Every fact key must be in its
+    dimension, as the rules of the star have it. No selection takes all rows, unknown values too.
+    """
+    fact = fact_of_years(star, selection.years if selection else None)
+    number = F.col(WAIT_COUNT) if WAIT_COUNT in fact.columns else F.col("tiempoEsperaMin").isNotNull().cast("bigint")
+    fact = fact.withColumn(WAIT_COUNT, number)
+    for key, allowed in (_matching(star, selection) if selection else {}).items():
+        fact = fact.join(allowed, key, "left_semi")
+    keys = list(dict.fromkeys(_SOURCES[c][0] for c in by))
+    measures_ = ("conteoFicha", *STATE_FLAGS, "tiempoEsperaMin", WAIT_COUNT)
+    groups = fact.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures_])
+    for key in keys:
+        columns = [c for c in by if _SOURCES[c][0] == key]
+        dimension = getattr(star.dims, _SOURCES[columns[0]][1])
+        groups = groups.join(dimension.select(key, *columns), key, "left" if key in OPTIONAL_FACT_KEYS else "inner")
+    return groups.groupBy(*by).agg(*[F.sum(c).alias(c) for c in measures_])
+
+
+def headline(star: Star, selection: Selection) -> DataFrame:
+    """``kpi_row`` of a slice and of its saturation, from one scan of the fact.
+
+    Groups by day, centre, specialty and state are described once. Summed per day and centre they give
+    the saturation, which the specialty does not touch; summed where the selection holds they
+    give the totals.
+    """
+    fact = fact_of_years(star, selection.years)
+    keys = ("fecha_key", "centro_key", "especialidad_key", "estado_key")
+    sums = ("conteoFicha", "esAtendida", "esAusente", "esCancelada")
+    groups = fact.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *attended_waits(fact))
+    days = ("fecha", "anio", "mes", "nombre_mes", "departamento", "ciudad", "centroSalud", "capacidadDiaria")
+    dims = star.dims
+    described = (
+        groups.join(dims.calendar.select("fecha_key", *days[:4]), "fecha_key")
+        .join(dims.center.select("centro_key", *days[4:]), "centro_key")
+        .join(dims.specialty, "especialidad_key", "left")
+        .join(dims.state.select("estado_key", "estado", F.lit(True).alias("_state")), "estado_key", "left")
+    )
+    mine = selection.of_tickets() & F.col("_state")
+    closed = F.when(F.col("estado").isin(*CLOSED_STATES), F.col("conteoFicha"))
+    measured = {**{c: F.col(c) for c in (*sums, "espera", "con_espera")}, "cerradas": closed}
+    per_day = described.groupBy(*days).agg(
+        F.sum("conteoFicha").alias("total_fichas_dia"),
+        *[F.sum(F.when(mine, value)).alias(name) for name, value in measured.items()],
+    )
+    rate = measures.rate_decimal(F.col("total_fichas_dia"), F.col("capacidadDiaria"))
+    counted = selection.of_saturation()
+    names = ("total_fichas", "total_atendidas", "total_ausentes", "total_canceladas", "total_cerradas")
+    whole = per_day.withColumn("_rate", F.when(counted, rate)).agg(
+        *[F.coalesce(_total(c), F.lit(0)).alias(n) for c, n in zip((*sums, "cerradas"), names)],
+        (F.sum("espera") / F.nullif(F.sum("con_espera"), F.lit(0))).alias("espera"),
+        F.count_if(counted).alias("dias"),
+        _mean_cents("_rate").alias("indice"),
+    )
+    index = F.when(F.col("dias") == 0, F.lit(0.0)).otherwise(measures.round_half_even(F.col("indice"), 1))
+    return _headline(whole).withColumn("indice_saturacion", index).drop("dias", "indice")
+
+
+def _headline(totals: DataFrame) -> DataFrame:
+    """Rates and the rounded mean wait beside the totals. Rates of nothing are 0."""
+    no_show = measures.rate_number(F.col("total_ausentes"), F.col("total_cerradas"), 2)
+    attended = measures.rate_number(F.col("total_atendidas"), F.col("total_fichas"), 1)
+    return totals.withColumns(
+        {
+            "tasa_ausentismo": F.coalesce(no_show, F.lit(0.0)),
+            "espera_promedio": measures.round_half_even(F.col("espera"), 1),
+            "tasa_atencion": F.coalesce(attended, F.lit(0.0)),
+        }
+    ).drop("espera")
+
+
 def slice_saturation(saturation: DataFrame, selection: Selection) -> DataFrame:
     return saturation.filter(selection.of_saturation())
 
@@ -140,16 +238,7 @@ def kpi_row(sliced: DataFrame, saturation: DataFrame) -> DataFrame:
         F.coalesce(F.sum(closed), F.lit(0)).alias("total_cerradas"),
         _mean_wait(sliced, _attended()).alias("espera"),
     )
-    zero = F.lit(0.0)
-    no_show = measures.rate_number(F.col("total_ausentes"), F.col("total_cerradas"), 2)
-    attended = measures.rate_number(F.col("total_atendidas"), F.col("total_fichas"), 1)
-    return totals.select(
-        "total_fichas", "total_atendidas", "total_ausentes", "total_canceladas", "total_cerradas",
-        F.coalesce(no_show, zero).alias("tasa_ausentismo"),
-        measures.round_half_even(F.col("espera"), 1).alias("espera_promedio"),
-        F.coalesce(attended, zero).alias("tasa_atencion"),
-        index.scalar().alias("indice_saturacion"),
-    )
+    return _headline(totals).withColumn("indice_saturacion", index.scalar())
 
 
 def kpi_bands(kpis: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ _TOTALS = {
 }
 
 
-def _waits(fact: DataFrame) -> list[Column]:
+def attended_waits(fact: DataFrame) -> list[Column]:
     """Sum and count of the waits of attended tickets, to be averaged later.
 
     In a summarised fact the waits are sums already, with their number beside them. Its rows
@@ -52,7 +52,7 @@ def general_kpis(star: Star) -> DataFrame:
     groups = star.fact.groupBy("fecha_key", "centro_key", "estado_key").agg(
         F.sum("conteoFicha").alias("n"),
         *[F.sum(c).alias(c) for c in _TOTALS],
-        *_waits(star.fact),
+        *attended_waits(star.fact),
     )
     described = groups.join(
         star.dims.state.select("estado_key", "estado", F.lit(True).alias("_state")),
@@ -126,7 +126,7 @@ def monthly_series(star: Star) -> DataFrame:
     groups = star.fact.groupBy("fecha_key", "contexto_key").agg(
         F.sum("conteoFicha").alias("n"),
         *[F.sum(c).alias(c) for c in ("esAtendida", "esAusente", "esCancelada")],
-        *_waits(star.fact),
+        *attended_waits(star.fact),
     )
     described = groups.join(
         star.dims.calendar.select("fecha_key", "anio", "mes", "nombre_mes"), "fecha_key"

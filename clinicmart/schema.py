@@ -77,6 +77,9 @@ NULL_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Dates as they are written in the country, day first, beside ISO.
+DAY_FIRST = ("d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy", "d-M-yyyy H:mm:ss", "d-M-yyyy H:mm", "d-M-yyyy")
+
 YEAR_CODE_OFFSET = 27170
 PLAIN_YEARS = (1900, 2100)
 DAYS_PER_YEAR = 365.25
@@ -100,12 +103,15 @@ DRILL_DISPLAY = {
     "tasa_ausentismo": "Ausentismo %",
     "espera_prom": "Espera (min)",
 }
-# ------------------------------------------------------------ end fixed values
 
 
 @dataclass(frozen=True)
 class CleanRules:
-    """What the clean tier does to one table."""
+    """What the clean tier does to one table.
+
+    ``formats`` are patterns of dates beside ISO, tried in order; a text that none of them
+    reads is null, and counted as unread.
+    """
 
     key: tuple[str, ...]
     required: tuple[str, ...]
@@ -116,6 +122,7 @@ class CleanRules:
     fill: tuple[str, ...] = ()
     replace: tuple[tuple[str, tuple[tuple[str, str], ...]], ...] = ()
     urls: tuple[str, ...] = ()
+    formats: tuple[str, ...] = DAY_FIRST
 
 
 TICKET_RULES = CleanRules(
@@ -165,3 +172,4 @@ FACT_KEYS = {
 }
 OPTIONAL_FACT_KEYS = ("contexto_key",)
 REQUIRED_FACT_KEYS = tuple(k for k in FACT_KEYS if k not in OPTIONAL_FACT_KEYS)
+# ------------------------------------------------------------ end fixed values

@@ -7,12 +7,16 @@ import os
 from pyspark.sql import SparkSession
 
 
+#: Shuffle partitions to begin with on a cluster; adaptive execution joins small ones.
+CLUSTER_PARTITIONS = 4096
+
+
 def build_session(app: str = "clinicmart", master: str | None = None, **conf: str) -> SparkSession:
     """Start (or reuse) a session.
 
     UTC and ANSI are needed for right results, AQE for right plans. On a
     cluster leave ``master`` unset and let spark-submit set it, along with
-    ``spark.checkpoint.dir`` on storage all executors can reach.
+    ``spark.checkpoint.dir`` on storage all executors can reach. Settings given as ``conf`` come last.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -35,6 +39,10 @@ def build_session(app: str = "clinicmart", master: str | None = None, **conf: st
             .config("spark.sql.shuffle.partitions", str(cores))
             .config("spark.driver.memory", "8g")
         )
+    else:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(CLUSTER_PARTITIONS)
+        )
     for key, value in conf.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()

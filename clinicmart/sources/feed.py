@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
-from clinicmart.sources.landing import INGEST_ORDER
+from clinicmart.sources.landing import INGEST_ORDER, listed_files, number_files
 
 
 def read_feed(
@@ -27,6 +27,7 @@ def read_feed(
         F.col("_metadata.file_path").alias("_file"),
         F.monotonically_increasing_id().alias("_row"),
     )
+    scan = number_files(scan, listed_files(spark, path))
     items = _items(raw.schema)
     if items is not None:
         records = scan.select("_file", "_row", F.posexplode(items).alias("_pos", "_record"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinicmart.llm import decontaminate, language, mixing, near_dups, personal
-from clinicmart.llm.common import saved, table, whole_rows
+from clinicmart.llm.common import discard, saved, table, whole_rows
 
 #: Share of a text that no language explains, above which it goes.
 MOST_NOISE = 0.5
@@ -89,7 +89,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        docs, before = saved(stage(spark, docs, sf_dir), name), last
+        # The table a stage has read is not needed once its own is stored.
+        if before is not None:
+            discard(before)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

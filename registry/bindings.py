@@ -242,3 +242,15 @@ def repeated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("iso3"),
         flag.alias("orden"),
     )
+
+
+def mixed_date_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets as text files have them: reservations in three spellings, and some in none."""
+    key, when = F.col("codigoFicha").cast("bigint"), F.col("fechaHoraReserva")
+    spelled = (
+        F.when(key % 8 == 3, F.lit("sin fecha"))
+        .when(key % 4 == 1, F.date_format(when, "d/M/yyyy H:mm:ss"))
+        .when(key % 4 == 2, F.date_format(when, "dd-MM-yyyy HH:mm"))
+        .otherwise(when.cast("string"))
+    )
+    return bronze_tickets(spark, sf_dir).withColumn("fechaHoraReserva", spelled)

@@ -7,7 +7,12 @@ rates use whole-number arithmetic (half up), see ``_pct``.
 
 from __future__ import annotations
 
-from clinicmart.schema import DAY_NAMES, MONTH_NAMES
+# Names of months and days.
+MONTH_NAMES = (
+    "ENERO", "FEBRERO", "MARZO", "ABRIL", "MAYO", "JUNIO",
+    "JULIO", "AGOSTO", "SEPTIEMBRE", "OCTUBRE", "NOVIEMBRE", "DICIEMBRE",
+)
+DAY_NAMES = ("LUNES", "MARTES", "MIERCOLES", "JUEVES", "VIERNES", "SABADO", "DOMINGO")
 
 _WS = r"[\s\x{3000}]"
 
@@ -645,4 +650,76 @@ UNION ALL SELECT 'vw_serie_mensual', count(DISTINCT (anio, mes)) FROM wide"""
 WITH {_WIDE}
 SELECT 'elegido' AS tabla, count(*) AS total FROM wide WHERE {_CHOSEN}
 UNION ALL SELECT 'vacio', CAST(0 AS BIGINT)"""
+    q["slice_empty"] = f"""
+WITH {_WIDE}
+SELECT 'elegido' AS seleccion, count(*) = 0 AS vacia FROM wide WHERE {_CHOSEN}
+UNION ALL SELECT 'vacio', true"""
+    q["clean_optional_columns"] = f"""
+WITH {_BASE}
+SELECT CAST(o_orderkey AS VARCHAR) AS "codigoFicha", upper(st) AS estado,
+       CASE o_orderkey % 3 WHEN 0 THEN 'SIN DATO' WHEN 1 THEN 'IRA' ELSE 'GRIPE' END AS diagnostico
+FROM base"""
+    q["enforced_rules"] = f"""
+WITH {_REPEATED},
+r AS (SELECT l_quantity FROM lines JOIN base ON l_orderkey = o_orderkey
+      JOIN patient ON o_custkey = c_custkey JOIN place ON c_nationkey = n_nationkey),
+broken AS (SELECT count(*) FILTER (l_quantity < 10) AS n FROM r)
+SELECT 'fichas' AS tabla, CASE WHEN n = 0 THEN 'ok'
+  ELSE 'quality rules violated: estado presente [estado]: ' || n END AS resultado FROM broken
+UNION ALL SELECT 'lineas', 'ok'"""
+    q["stored_document"] = f"""
+WITH {_SILVER} SELECT columna, filas, nulos FROM ({_nulls(_TICKET_SILVER_COLUMNS)})"""
+    q["csv_by_header"] = f"""
+WITH {_BASE}
+SELECT CAST(o_orderkey AS VARCHAR) AS "codigoFicha", {_untidy('st')} AS estado,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'reposo' END AS indicaciones
+FROM base"""
+    q["silver_mixed_dates"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS "codigoFicha",
+       CAST(CAST(o_orderdate AS TIMESTAMP) AS VARCHAR) AS "fechaHoraReserva",
+       year(o_orderdate) AS anio, month(o_orderdate) AS mes,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS fecha
+FROM orders WHERE o_orderkey % 8 <> 3"""
+    q["check_unread_dates"] = """
+SELECT 'fechas leidas' AS regla, 'fechaHoraReserva' AS columna,
+       count(*) FILTER (o_orderkey % 8 = 3) AS violaciones
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+    q["star_null_labels"] = f"""
+WITH {_SILVER},
+t AS (SELECT CASE WHEN CAST("codigoFicha" AS BIGINT) % 7 <> 0 THEN especialidad END AS especialidad,
+             CASE WHEN CAST("codigoFicha" AS BIGINT) % 11 <> 0 THEN "canalReserva" END AS "canalReserva"
+      FROM silver),
+e AS (SELECT especialidad, row_number() OVER (ORDER BY especialidad NULLS LAST) AS especialidad_key
+      FROM (SELECT DISTINCT especialidad FROM t)),
+c AS (SELECT "canalReserva", row_number() OVER (ORDER BY "canalReserva" NULLS LAST) AS canal_key
+      FROM (SELECT DISTINCT "canalReserva" FROM t))
+SELECT especialidad_key, e.especialidad, canal_key, c."canalReserva", count(*) AS fichas
+FROM t JOIN e ON t.especialidad IS NOT DISTINCT FROM e.especialidad
+  JOIN c ON t."canalReserva" IS NOT DISTINCT FROM c."canalReserva"
+GROUP BY ALL"""
+    q["lookup_fan_out"] = """
+SELECT 'pedido ambiguo' AS regla, 'o_orderkey' AS columna, count(*) AS violaciones
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)"""
+    q["check_campaigns"] = f"""
+WITH {_BASE}, {_CAMPAIGNS},
+centers AS ({_CENTERS}),
+same AS (SELECT "centroSalud" FROM centers GROUP BY 1 HAVING count(*) > 1),
+fact AS (
+  SELECT c.*, centro_key FROM clean_campaigns c LEFT JOIN centers USING ("centroSalud")
+)
+SELECT 'centro ambiguo' AS regla, 'centroSalud' AS columna,
+       count(*) FILTER ("centroSalud" IN (SELECT * FROM same)) AS violaciones FROM clean_campaigns
+UNION ALL SELECT 'tipo ambiguo', 'tipo', CAST(0 AS BIGINT)
+UNION ALL SELECT 'clave DimTipoCampana', 'tipo_campana_key', CAST(0 AS BIGINT)
+UNION ALL SELECT 'clave FactCampanas', 'campana_key', CAST(0 AS BIGINT)
+UNION ALL SELECT 'campanas unicas en FactCampanas', 'codigoCampana',
+  count(*) - count(DISTINCT "codigoCampana") FROM fact
+UNION ALL SELECT 'referencia campanas', 'centro_key', CAST(0 AS BIGINT)
+UNION ALL SELECT 'referencia campanas', 'tipo_campana_key', CAST(0 AS BIGINT)
+UNION ALL SELECT 'claves campanas', 'campana_key', CAST(0 AS BIGINT)
+UNION ALL SELECT 'claves campanas', 'codigoCampana', count(*) FILTER ("codigoCampana" IS NULL) FROM fact
+UNION ALL SELECT 'claves campanas', 'tipo_campana_key', CAST(0 AS BIGINT)
+UNION ALL SELECT 'claves campanas', 'fecha_inicio_key', count(*) FILTER ("fechaInicio" IS NULL) FROM fact
+UNION ALL SELECT 'claves campanas', 'fecha_fin_key', count(*) FILTER ("fechaFin" IS NULL) FROM fact"""
+    q["published_run"] = "SELECT r_regionkey, r_name FROM region"
     return q

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZTy
 
 from clinicmart.functions import dates, measures, parse, text
 from clinicmart.operators import keys, quality, rows
-from clinicmart.plans import extract, gold, silver, slices, views
+from clinicmart.plans import extract, gold, runs, silver, slices, views
+from clinicmart.schema import TICKET_RULES
 from clinicmart.sources import feed, landing
+from clinicmart.sources.store import TierStore
 from registry import bindings as b
 from registry import marts
 
@@ -22,6 +25,7 @@ _QUERIES: dict[str, Query] = {}
 SOME = slices.Selection(years=(1996, 1997, 1999), specialties=("BUILDING", "MACHINERY"))
 DRILL_SPECIALTY = "BUILDING"
 DRILL_CENTER = "NATION_7"
+_DRILL = ["especialidad", "centroSalud"]
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -416,6 +420,11 @@ def _slice(spark, sf_dir, selection=slices.Selection()):
     return slices.slice_star(marts.star(spark, sf_dir), selection)
 
 
+def _groups(spark, sf_dir, by, selection=slices.Selection()):
+    """A slice summed up per value of some columns."""
+    return slices.slice_groups(marts.star(spark, sf_dir), selection, by)
+
+
 def _saturation(spark, sf_dir, selection=slices.Selection()):
     return slices.star_saturation(marts.star(spark, sf_dir), selection)
 
@@ -430,33 +439,31 @@ def slice_filter(spark, sf_dir):
 @register
 def filter_options(spark, sf_dir):
     """Values on offer per filter."""
-    return slices.filter_options(gold.star_wide(marts.star(spark, sf_dir)))
+    return slices.filter_options(_groups(spark, sf_dir, ["anio", "centroSalud", "especialidad"], None))
 
 
 @register
 def kpi_row(spark, sf_dir):
     """A6 over everything."""
-    return slices.kpi_row(_slice(spark, sf_dir), _saturation(spark, sf_dir))
+    return slices.headline(marts.star(spark, sf_dir), slices.Selection())
 
 
 @register
 def kpi_row_chosen(spark, sf_dir):
     """A6, F7 over a choice; saturation does not follow the specialty."""
-    return slices.kpi_row(_slice(spark, sf_dir, SOME), _saturation(spark, sf_dir, SOME))
+    return slices.headline(marts.star(spark, sf_dir), SOME)
 
 
 @register
 def kpi_bands(spark, sf_dir):
     """C20 on the headline row."""
-    row = slices.kpi_row(_slice(spark, sf_dir), _saturation(spark, sf_dir))
-    return slices.kpi_bands(row)
+    return slices.kpi_bands(slices.headline(marts.star(spark, sf_dir), slices.Selection()))
 
 
 @register
 def kpi_row_summary(spark, sf_dir):
     """A6 over a choice, from the stored summary of the fact."""
-    star = marts.summary(spark, sf_dir)
-    return slices.kpi_row(slices.slice_star(star, SOME), slices.star_saturation(star, SOME))
+    return slices.headline(marts.summary(spark, sf_dir), SOME)
 
 
 @register
@@ -481,43 +488,43 @@ def drill_center_summary(spark, sf_dir):
 @register
 def slice_monthly(spark, sf_dir):
     """A7."""
-    return slices.monthly(_slice(spark, sf_dir, SOME))
+    return slices.monthly(_groups(spark, sf_dir, ["anio", "mes"], SOME))
 
 
 @register
 def dist_state(spark, sf_dir):
     """A8."""
-    return slices.state_distribution(_slice(spark, sf_dir))
+    return slices.state_distribution(_groups(spark, sf_dir, ["estado"]))
 
 
 @register
 def dist_channel(spark, sf_dir):
     """A9."""
-    return slices.channel_distribution(_slice(spark, sf_dir))
+    return slices.channel_distribution(_groups(spark, sf_dir, ["canalReserva"]))
 
 
 @register
 def slice_noshow(spark, sf_dir):
     """A10."""
-    return slices.noshow(_slice(spark, sf_dir))
+    return slices.noshow(_groups(spark, sf_dir, ["especialidad"]))
 
 
 @register
 def drill_specialty(spark, sf_dir):
     """Centres within one specialty."""
-    return slices.drill_specialty(_slice(spark, sf_dir), DRILL_SPECIALTY)
+    return slices.drill_specialty(_groups(spark, sf_dir, _DRILL), DRILL_SPECIALTY)
 
 
 @register
 def drill_center(spark, sf_dir):
     """Specialties within one centre."""
-    return slices.drill_center(_slice(spark, sf_dir), DRILL_CENTER)
+    return slices.drill_center(_groups(spark, sf_dir, _DRILL), DRILL_CENTER)
 
 
 @register
 def drill_display(spark, sf_dir):
     """A drill-down under its display headings."""
-    return slices.display(slices.drill_center(_slice(spark, sf_dir), DRILL_CENTER))
+    return slices.display(slices.drill_center(_groups(spark, sf_dir, _DRILL), DRILL_CENTER))
 
 
 @register
@@ -529,19 +536,19 @@ def saturation_center(spark, sf_dir):
 @register
 def wait_specialty(spark, sf_dir):
     """A14, F4."""
-    return slices.wait_by_specialty(_slice(spark, sf_dir))
+    return slices.wait_by_specialty(_groups(spark, sf_dir, ["especialidad", "estado"]))
 
 
 @register
 def demand_context(spark, sf_dir):
     """A15."""
-    return slices.demand_and_context(_slice(spark, sf_dir))
+    return slices.demand_and_context(_groups(spark, sf_dir, ["anio", "valor_cepal"]))
 
 
 @register
 def detail_header(spark, sf_dir):
     """A16."""
-    return slices.detail_header(_slice(spark, sf_dir, SOME))
+    return slices.detail_header(_groups(spark, sf_dir, ["anio", "centroSalud", "especialidad"], SOME))
 
 
 @register
@@ -626,3 +633,124 @@ def slice_sizes(spark, sf_dir):
     return quality.row_counts(
         {"elegido": _slice(spark, sf_dir, SOME), "vacio": _slice(spark, sf_dir, none)}
     )
+
+
+@register
+def slice_empty(spark, sf_dir):
+    """Q8: whether a slice has rows, for one with matches and one without."""
+    chosen = {"elegido": SOME, "vacio": slices.Selection(years=())}
+    found = [(name, rows.is_empty(_slice(spark, sf_dir, selection))) for name, selection in chosen.items()]
+    return spark.createDataFrame(found, "seleccion string, vacia boolean")
+
+
+@register
+def clean_optional_columns(spark, sf_dir):
+    """Rules for columns the frame lacks do nothing."""
+    few = b.bronze_tickets(spark, sf_dir).select("codigoFicha", "estado", "diagnostico")
+    return silver.clean_columns(few, TICKET_RULES)
+
+
+@register
+def enforced_rules(spark, sf_dir):
+    """Q5: a report with a violation raises, naming rule, column and count; one without does not."""
+    reports = {
+        "fichas": quality.completeness(b.repeated_tickets(spark, sf_dir), ["estado"], "estado presente"),
+        "lineas": quality.uniqueness(
+            b.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", *b.LINE_ORDER], "lineas unicas"
+        ),
+    }
+    found = []
+    for name, report in reports.items():
+        try:
+            quality.enforce(report)
+            found.append((name, "ok"))
+        except quality.QualityError as error:
+            found.append((name, str(error)))
+    return spark.createDataFrame(found, "tabla string, resultado string")
+
+
+@register
+def stored_document(spark, sf_dir):
+    """IO10, Q1: counts taken while the tickets are written, as a document published with them."""
+    store = TierStore(spark, f"{marts.store(spark, sf_dir).root}/document/{uuid4().hex}")
+    run = store.run()
+    counted = quality.Counted(marts.tickets(spark, sf_dir))
+    run.write(runs.TICKETS, counted.df)
+    run.write_document(runs.SUMMARY, quality.counted_summary({"fichas": counted}))
+    run.publish()
+    document = store.read_document(runs.SUMMARY)
+    names = document.select("nulos_fichas.*").columns
+    nulls = F.explode(F.create_map(*[x for c in names for x in (F.lit(c), F.col(f"nulos_fichas.{c}"))]))
+    return document.select(F.col("filas_fichas").alias("filas"), nulls.alias("columna", "nulos"))
+
+
+@register
+def csv_by_header(spark, sf_dir):
+    """IO4: files with their columns in different orders, matched by name."""
+    path = f"{marts.store(spark, sf_dir).root}/csv/{uuid4().hex}"
+    tickets = b.bronze_tickets(spark, sf_dir).select("codigoFicha", "estado", "indicaciones")
+    odd = F.col("codigoFicha").cast("bigint") % 2 == 1
+    landing.write_csv(tickets.filter(odd), path)
+    turned = tickets.filter(~odd).select("indicaciones", "codigoFicha", "estado")
+    landing.write_csv(turned, path, append=True)
+    return landing.read_csv(spark, path, columns=tickets.columns)
+
+
+@register
+def silver_mixed_dates(spark, sf_dir):
+    """Dates in several formats; a ticket whose date none of them reads goes."""
+    clean = silver.clean_tickets(b.mixed_date_tickets(spark, sf_dir), b.as_of())
+    return clean.select("codigoFicha", "fechaHoraReserva", "anio", "mes", "fecha")
+
+
+@register
+def check_unread_dates(spark, sf_dir):
+    """Dates that no format reads."""
+    return silver.unread_dates(b.mixed_date_tickets(spark, sf_dir), TICKET_RULES, "fechas leidas")
+
+
+@register
+def star_null_labels(spark, sf_dir):
+    """Null labels have a key of their own, the highest, in dimension and fact."""
+    key = F.col("codigoFicha").cast("bigint")
+    tickets = marts.tickets(spark, sf_dir).withColumns(
+        {
+            "especialidad": F.when(key % 7 != 0, F.col("especialidad")),
+            "canalReserva": F.when(key % 11 != 0, F.col("canalReserva")),
+        }
+    )
+    dims = replace(
+        marts.star(spark, sf_dir).dims,
+        specialty=gold.specialty_dimension(tickets),
+        channel=gold.channel_dimension(tickets),
+    )
+    fact = gold.visit_fact(tickets, dims).groupBy("especialidad_key", "canal_key").agg(F.count("*").alias("fichas"))
+    return fact.join(dims.specialty, "especialidad_key").join(dims.channel, "canal_key")
+
+
+@register
+def lookup_fan_out(spark, sf_dir):
+    """Rows that a lookup would repeat."""
+    lines = b.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return quality.fan_out(b.table(spark, sf_dir, "orders"), lines, ["o_orderkey"], "pedido ambiguo")
+
+
+@register
+def check_campaigns(spark, sf_dir):
+    """Rules of the campaign star, before and after its lookups."""
+    campaigns, types = marts.campaigns(spark, sf_dir), marts.campaign_types(spark, sf_dir)
+    centers = marts.star(spark, sf_dir).dims.center
+    fact = gold.campaign_fact(campaigns, centers, types)
+    return quality.merge_reports(
+        gold.campaign_lookup_rules(campaigns, centers, types), gold.campaign_rules(fact, centers, types)
+    )
+
+
+@register
+def published_run(spark, sf_dir):
+    """IO8: readers see the last published run, not one that has not been."""
+    store = TierStore(spark, f"{marts.store(spark, sf_dir).root}/published/{uuid4().hex}")
+    store.write("t", b.table(spark, sf_dir, "nation"))
+    store.write("t", b.table(spark, sf_dir, "region"))
+    store.run().write("t", b.table(spark, sf_dir, "customer"))
+    return store.read("t")

@@ -215,3 +215,51 @@ def test_enforce(faulty):
 def test_row_counts(spark, faulty):
     got = quality.row_counts({"a": faulty, "b": faulty.filter("false")})
     assert as_set(got) == {("a", 5), ("b", 0)}
+
+
+def test_counts_taken_while_writing(spark, faulty, tmp_path):
+    rules = (("r", ["k", "s"], {"d": 0}), ("q", [], {"k": 2}))
+    counted = {"uno": quality.Counted(faulty, *rules), "dos": quality.Counted(faulty.filter("k = 2"))}
+    for name, c in counted.items():
+        c.df.write.parquet(str(tmp_path / name))
+    assert counted["uno"].rows == 5 and counted["uno"].nulls() == {"k": 2, "s": 2, "d": 1}
+    expected = quality.merge_reports(*[quality.completeness(faulty, c, r, m) for r, c, m in rules])
+    assert as_set(counted["uno"].report()) == as_set(expected)
+    assert as_set(counted["dos"].report()) == set()
+    summary, plain = quality.counted_summary(counted), quality.null_summary({"uno": faulty, "dos": faulty.filter("k = 2")})
+    assert summary.columns == plain.columns
+    assert summary.first().asDict(True) == plain.first().asDict(True)
+
+
+@pytest.mark.parametrize("values", [[], [1, 2, 3], [1, 1, 2, 70_000, 70_000, 70_000], [None, None, 5], [0, -1, -1]])
+def test_unique_numbers(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "k bigint")
+    assert as_set(quality.unique_numbers(df, "k", "r")) == as_set(quality.uniqueness(df, ["k"], "r"))
+
+
+def test_fan_out(spark):
+    left = spark.createDataFrame([("x",), ("x",), ("y",), (None,), ("w",)], "n string")
+    right = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3), (None, 4), (None, 5), ("z", 6), ("z", 7)], "n string, k int")
+    # Two rows meet two of x and one meets two nulls; z is not asked for.
+    assert as_set(quality.fan_out(left, right, ["n"], "r")) == {("r", "n", 3)}
+    assert as_set(quality.fan_out(left, right.filter("n = 'y'"), ["n"], "r")) == {("r", "n", 0)}
+
+
+def test_labels_are_quoted(spark):
+    df = spark.createDataFrame([(None,)], "`it's` string")
+    assert as_set(quality.null_profile(df, "t'")) == {("t'", "it's", 1, 1)}
+
+
+def test_ranges_are_released(spark, tmp_path):
+    import glob
+
+    from clinicmart.sources.store import work_root
+
+    df = keys.dense_key(spark.range(50).withColumn("x", F.lit(1)), ["id"], "k")
+    mine = {f.rsplit("/", 2)[0] for f in df.inputFiles()}
+    assert len(mine) == 1 and df.count() == 50
+    other = keys.dense_key(spark.range(3), ["id"], "k")
+    keys.release(df)
+    folder = work_root(spark).removeprefix("file:") + "/ranges/"
+    left = {p.rsplit("/", 1)[1] for p in glob.glob(folder + "*")}
+    assert mine.pop().rsplit("/", 1)[1] not in left and other.count() == 3

@@ -78,3 +78,61 @@ def test_silver_rules(spark, tickets):
     backwards = campaigns.withColumn("duracionDias", F.lit(-1).cast("bigint"))
     with pytest.raises(quality.QualityError, match=r"duracionDias>=0\]: 3"):
         quality.enforce(silver.silver_rules(tickets, backwards, indicator))
+
+
+# ---------------------------------------------------------------------- dates
+
+SPELLED = [
+    ("F1", "2025-03-15 08:30:00"), ("F2", "15/03/2025 8:30:00"), ("F3", "5/3/2025 08:30"), ("F4", "15/03/2025"),
+    ("F5", "15-03-2025 08:30"), ("F6", "03/15/2025"), ("F7", "mañana"), ("F8", None), ("F9", " "),
+]
+
+
+@pytest.fixture()
+def spelled(spark):
+    return spark.createDataFrame(SPELLED, "codigoFicha string, fechaHoraReserva string").withColumns(
+        {"estado": F.lit("atendida"), "centroSalud": F.lit("a"), "fechaNacimiento": F.lit("1/2/1980")}
+    )
+
+
+def test_dates_in_several_formats(spelled):
+    got = {r.codigoFicha: r for r in silver.clean_tickets(spelled, F.lit(AS_OF)).collect()}
+    assert set(got) == {"F1", "F2", "F3", "F4", "F5"}
+    days = {k: r.fechaHoraReserva.isoformat(sep=" ", timespec="minutes") for k, r in got.items()}
+    assert days == {
+        "F1": "2025-03-15 08:30", "F2": "2025-03-15 08:30", "F3": "2025-03-05 08:30",
+        "F4": "2025-03-15 00:00", "F5": "2025-03-15 08:30",
+    }
+    assert {r.fechaNacimiento.isoformat()[:10] for r in got.values()} == {"1980-02-01"}
+
+
+def test_other_formats_by_rule(spelled):
+    from dataclasses import replace
+
+    from clinicmart.schema import TICKET_RULES
+
+    month_first = replace(TICKET_RULES, formats=("M/d/yyyy",))
+    got = {r.codigoFicha for r in silver.clean_tickets(spelled, F.lit(AS_OF), rules=month_first).collect()}
+    assert got == {"F1", "F6"}
+
+
+def test_unread_dates_are_counted(spark, spelled, tmp_path):
+    from clinicmart.schema import TICKET_RULES
+
+    report = {r.columna: r.violaciones for r in silver.unread_dates(spelled, TICKET_RULES, "r").collect()}
+    assert report == {"fechaHoraReserva": 2, "fechaNacimiento": 0}
+    unread = silver.UnreadDates()
+    clean = silver.clean_tickets(spelled, F.lit(AS_OF), unread=unread)
+    clean.write.parquet(str(tmp_path / "t"))
+    # Counted while the rows were written, before those without a date went.
+    assert unread.counts() == {"fechaHoraReserva": 2, "fechaNacimiento": 0}
+
+
+def test_repeated_keys_need_an_order(spark):
+    rows = [("F1", "2024-01-01", "atendida", "a"), ("F1", "2024-01-02", "atendida", "a")]
+    df = spark.createDataFrame(rows, "codigoFicha string, fechaHoraReserva string, estado string, centroSalud string")
+    df = df.withColumn("fechaNacimiento", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="no order is stated"):
+        silver.clean_tickets(df, F.lit(AS_OF)).collect()
+    assert silver.clean_tickets(df, F.lit(AS_OF), ["fechaHoraReserva"]).first().dia == 1
+    assert silver.clean_tickets(df.limit(1), F.lit(AS_OF)).count() == 1

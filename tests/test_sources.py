@@ -135,3 +135,125 @@ def test_documents_of_two_databases_stay_apart(spark, tmp_path):
     for name in ("doc_one", "doc_two"):
         assert spark.read.json(f"{tmp_path}/{name}/summary").first()["v"] == name
         spark.sql(f"DROP DATABASE {name}")
+
+
+def test_a_run_is_seen_when_it_is_published(spark, tmp_path):
+    store = TierStore(spark, str(tmp_path))
+    store.write_all({"t": spark.range(1), "u": spark.range(2)})
+    run = store.run()
+    run.write("t", spark.range(10))
+    run.write_document("d", spark.createDataFrame([(5,)], "n int"))
+    assert (run.read("t").count(), run.read("u").count()) == (10, 2)
+    held = store.read("t")
+    assert held.count() == store.read("t").count() == 1 and not store.has("d")
+    run.publish()
+    # Who has opened the earlier table can go on reading it.
+    assert (held.count(), store.read("t").count(), store.read("u").count()) == (1, 10, 2)
+    assert store.read_document("d").first().n == 5
+    assert {n: df.count() for n, df in TierStore(spark, str(tmp_path)).read_all(["t", "u"]).items()} == {"t": 10, "u": 2}
+
+
+def test_pruning_keeps_what_is_published(spark, tmp_path):
+    store = TierStore(spark, str(tmp_path))
+    store.write_all({"t": spark.range(1), "u": spark.range(2)})
+    old = store.published()["t"]
+    store.write("t", spark.range(3))
+    store.prune(keep=2)
+    assert spark.read.parquet(old).count() == 1
+    store.prune()
+    assert not os.path.exists(old)
+    assert (store.read("t").count(), store.read("u").count()) == (3, 2)
+
+
+def test_runs_in_a_database(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS runs_mart LOCATION '{tmp_path}/runs'")
+    try:
+        store = TierStore(spark, database="runs_mart")
+        store.write("t", spark.range(2))
+        failed = store.run()
+        failed.write("t", spark.range(7))
+        assert store.read("t").count() == spark.table("runs_mart.t").count() == 2
+        store.write("t", spark.range(4))
+        assert store.read("t").count() == spark.table("runs_mart.t").count() == 4
+        store.prune()
+        assert store.read("t").count() == 4
+    finally:
+        spark.sql("DROP DATABASE runs_mart CASCADE")
+
+
+def test_a_table_without_a_manifest_is_read_by_its_name(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert TierStore(spark, str(tmp_path)).read("t").count() == 3
+
+
+# -------------------------------------------------------------------- headers
+
+
+def write_files(folder, **files):
+    folder.mkdir(exist_ok=True)
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_columns_are_matched_by_name(spark, tmp_path, multi_line):
+    path = write_files(tmp_path / "c", a="x,y\n1,2\n", b="\ufeffy,x\n20,10\n", c="", d='"x","y"\n3,"a,b"\n')
+    df = landing.read_csv(spark, path, multi_line, file_order=True)
+    assert df.columns == ["x", "y", INGEST_ORDER]
+    assert [(r.x, r.y) for r in df.orderBy(INGEST_ORDER).collect()] == [("1", "2"), ("10", "20"), ("3", "a,b")]
+    turned = landing.read_csv(spark, path, multi_line, columns=["y", "x"])
+    assert turned.columns == ["y", "x"] and turned.count() == 3
+    # One column is read as rightly as all of them.
+    assert sorted(r.y for r in df.select("y").collect()) == ["2", "20", "a,b"]
+
+
+@pytest.mark.parametrize("other", ["x,z\n1,2\n", "x\n1\n", "x,y,z\n1,2,3\n", "x,x\n1,2\n"])
+def test_csv_with_another_header_is_refused(spark, tmp_path, other):
+    path = write_files(tmp_path / "c", a="x,y\n1,2\n", b=other)
+    with pytest.raises(landing.HeaderError, match="b.csv"):
+        landing.read_csv(spark, path)
+    with pytest.raises(landing.HeaderError, match="a.csv"):
+        landing.read_csv(spark, write_files(tmp_path / "d", a="x,y\n1,2\n"), columns=["x", "w"])
+
+
+@pytest.mark.parametrize("row", ["1", "1,2,3"])
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_rows_of_another_length_are_refused(spark, tmp_path, row, multi_line):
+    path = write_files(tmp_path / "c", a=f"x,y\n1,2\n{row}\n")
+    for columns in (["x", "y"], ["x"]):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            landing.read_csv(spark, path, multi_line).select(*columns).collect()
+
+
+def test_csv_of_nothing(spark, tmp_path):
+    path = write_files(tmp_path / "c", a="")
+    assert landing.read_csv(spark, path, columns=["x"]).count() == 0
+
+
+def test_compressed_csv(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "c"
+    folder.mkdir()
+    with gzip.open(folder / "a.csv.gz", "wt") as f:
+        f.write("y,x\n2,1\n")
+    (folder / "b.csv").write_text("x,y\n3,4\n")
+    got = landing.read_csv(spark, str(folder)).select("x", "y").collect()
+    assert sorted(tuple(r) for r in got) == [("1", "2"), ("3", "4")]
+
+
+def test_files_are_ordered_by_their_numbers(spark, tmp_path):
+    folder = tmp_path / "land ed"
+    names = ["part-100000", "part-99999", "part-9", "part-10"]
+    for name in names:
+        write_files(folder, **{name: f"v\n{name}\n"})
+    df = landing.read_csv(spark, str(folder), file_order=True)
+    assert [r.v for r in df.orderBy(INGEST_ORDER).collect()] == ["part-9", "part-10", "part-99999", "part-100000"]
+    # Rows carry numbers, not the names of their files.
+    assert df.schema[INGEST_ORDER].dataType.simpleString() == "struct<file:int,block:bigint,row:bigint>"
+    for name in names:
+        (tmp_path / "feed").mkdir(exist_ok=True)
+        (tmp_path / "feed" / f"{name}.json").write_text(json.dumps([{"year": 2000, "value": name}]))
+    records = feed.read_feed(spark, str(tmp_path / "feed")).orderBy(INGEST_ORDER).collect()
+    assert [r.value for r in records] == ["part-9", "part-10", "part-99999", "part-100000"]
