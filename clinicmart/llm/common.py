@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clinicmart.sources.store import work_root
+from clinicmart.sources.store import remove_folder, work_root
 
 #: Rows of one Arrow batch sent to Python. Texts may be very long, so a batch holds few.
 ROWS_PER_BATCH = 512
@@ -44,6 +44,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``saved`` wrote and that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        remove_folder(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def named(df: DataFrame, **columns: str) -> DataFrame:
     """Only the given columns, under the given names: ``named(df, id="doc_id")``."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])

@@ -7,9 +7,9 @@ consecutive bins are bands, and documents that agree in a band share a bucket.
 
 A bucket proposes a star: its members against one centre, never all pairs. Proposed
 pairs are confirmed on the full shingle sets. Most buckets then lie in one component and
-are done. In the others, every member outside the largest component becomes a centre
-too, four times as many in each round, against the members of other components that
-sizes, sketches and small sets leave possible. So no link between members of a bucket that would join two components is lost.
+are done. In the others, the members outside the largest component are compared with all of the
+bucket, in blocks, by sizes, sketches and (up to ``WHOLE`` shingles) the hashes themselves; pairs of
+different components that may be similar are confirmed too. So no link between members of a bucket that would join two components is lost.
 
 Before all that, documents with equal sets are reduced to one, the smallest id. Small
 sets have too few hashes for sure signatures. They get buckets for the shingles of their
@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicmart.llm import hashing
-from clinicmart.llm.common import bound_batches, named, saved, text_chunks
-from clinicmart.llm.graph import components
+from clinicmart.llm.common import bound_batches, discard, named, saved, text_chunks
+from clinicmart.llm.graph import components, extended
 
 SHINGLE = 5
 #: A link: 100 times the intersection is at least this many times the union.
@@ -37,8 +37,10 @@ BINS = 128
 ROWS = 4
 #: Sets up to this size are compared by prefixes, which miss nothing.
 SMALL = 32
-#: Sets up to this size are compared whole before their texts are fetched.
+#: Sets up to this size carry their hashes, halved, beside the sketch, and are compared by them.
 WHOLE = 256
+#: Members of a bucket in one block.
+BLOCK = 2048
 _TRIES = 64
 
 _source = np.random.Generator(np.random.PCG64(77)).integers(0, BINS, (BINS, _TRIES))
@@ -96,12 +98,10 @@ def _buckets(hashes: np.ndarray, least: np.ndarray, small: int) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
-def _sketch(hashes: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Two bits of each bin in four numbers: similar sets differ in few. Small sets follow whole."""
-    mixed = hashing.mix(least)
-    bits = np.stack([mixed & np.uint64(1), mixed >> np.uint64(1) & np.uint64(1)]).astype(np.uint8)
-    packed = np.packbits(bits.ravel()).view(np.int64)
-    return packed if len(hashes) > WHOLE else np.concatenate([packed, hashes.view(np.int64)])
+def _sketch(hashes: np.ndarray, least: np.ndarray) -> bytes:
+    """A byte of each bin, followed by the upper halves of all hashes of a set that is not large."""
+    bins = (hashing.mix(least) & np.uint64(0xFF)).astype(np.uint8).tobytes()
+    return bins + (hashes >> np.uint64(32)).astype(np.uint32).tobytes() if len(hashes) <= WHOLE else bins
 
 
 def profiles(docs: DataFrame, id_column: str, text_column: str, small: int = SMALL) -> DataFrame:
@@ -123,7 +123,7 @@ def profiles(docs: DataFrame, id_column: str, text_column: str, small: int = SMA
                         sketches.append(_sketch(hashes, least))
                         buckets.append(_buckets(hashes, least, small))
                     else:
-                        sketches.append([])
+                        sketches.append(b"")
                         buckets.append([])
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -133,7 +133,7 @@ def profiles(docs: DataFrame, id_column: str, text_column: str, small: int = SMA
                         pa.array(sizes, pa.int64()),
                         pa.array(set_a, pa.int64()),
                         pa.array(set_b, pa.int64()),
-                        pa.array(sketches, longs),
+                        pa.array(sketches, pa.binary()),
                         pa.array(buckets, longs),
                     ],
                     ["id", "digest", "n_shingles", "set_a", "set_b", "sketch", "buckets"],
@@ -142,7 +142,7 @@ def profiles(docs: DataFrame, id_column: str, text_column: str, small: int = SMA
     rows = named(docs, id=id_column, text=text_column)
     return rows.select(F.col("id").cast("bigint"), F.xxhash64("text").alias("digest"), "text").mapInArrow(
         build,
-        "id bigint, digest bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch array<bigint>, "
+        "id bigint, digest bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch binary, "
         "buckets array<bigint>",
     )
 
@@ -178,24 +178,95 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _possible(n: Column, m: Column, x: Column, y: Column) -> Column:
-    """Whether two sets can be similar enough, by their sizes and what stands for them.
+def _alike(sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How many bins two sets that are similar enough agree in at least, by their sizes.
 
-    Sketches are compared first, then small sets, which are there whole: at the least similarity
-    a quarter of the bins differ, which is 32 of the 256 bits on average; five and a half
-    standard deviations more are let through (two pairs in a hundred million go beyond),
-    counting that small sets have fewer bins of their own.
+    On average they agree in three quarters of the bins they fill; five and a half standard
+    deviations less are let through (two pairs in a hundred million go beyond). Small sets, which
+    fill few bins, pass whatever their sketches are.
     """
-    smaller = F.least(n, m)
-    differing = F.aggregate(
-        F.zip_with(F.slice(x, 1, 4), F.slice(y, 1, 4), lambda a, b: F.bit_count(a.bitwiseXOR(b))),
-        F.lit(0),
-        lambda total, bits: total + bits,
+    smaller = np.minimum(sizes, others)
+    filled = BINS * -np.expm1(-smaller / BINS)
+    low = BINS * (PERCENT / 100) - 5.5 * BINS * np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / np.maximum(filled, 1))
+    return np.where(smaller <= SMALL, 0, low)
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs ``(a, b)`` of each group of rows that follow each other, of different components and possibly similar.
+
+    Rows of a group are ``far`` members first; each of those is compared with all others.
+    """
+    names = ["key", "part", "first", "second"]
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        keys = np.stack([table.column(c).to_numpy() for c in names], 1)
+        cut = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        last = int(cut[-1]) if len(cut) else 0
+        if last:
+            yield from _compared(table.slice(0, last), np.concatenate([[0], cut]))
+        rest = table.slice(last)
+    if rest is not None and len(rest):
+        yield from _compared(rest, np.array([0, len(rest)]))
+
+
+def _compared(table: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    table = table.combine_chunks()
+    node, component, size, far = (
+        table.column(c).to_numpy() for c in ("node", "component", "n_shingles", "far")
     )
-    spread = 35 * F.sqrt(F.lit(float(BINS)) / F.least(smaller, F.lit(BINS)))
-    both = F.size(F.array_intersect(F.slice(x, 5, WHOLE), F.slice(y, 5, WHOLE)))
-    alike = F.when(F.greatest(n, m) <= WHOLE, 100 * both >= PERCENT * (n + m - both)).otherwise(True)
-    return (F.greatest(n, m) * PERCENT <= smaller * 100) & (differing <= 32 + spread) & alike
+    cells = table.column("sketch").to_pylist()
+    sketch = np.frombuffer(b"".join(c[:BINS] for c in cells), np.uint8).reshape(len(table), BINS)
+    out = []
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        some = low + np.flatnonzero(far[low:high])
+        overlap = _Overlap(cells[low:high])
+        for start in range(0, len(some), 128):
+            left = some[start : start + 128]
+            n, m = size[left][:, None], size[low:high][None]
+            open_ = component[left][:, None] != component[low:high][None]
+            open_ &= np.maximum(n, m) * PERCENT <= np.minimum(n, m) * 100
+            i, j = np.nonzero(open_)
+            same = (sketch[left[i]] == sketch[low + j]).sum(1)
+            hit = same >= _alike(size[left[i]], size[low + j])
+            i, j = i[hit], j[hit]
+            for one, others in zip(*_by_first(i, j)):
+                both = overlap.of(left[one] - low, others)
+                near = 100 * both >= PERCENT * (size[left[one]] + size[low + others] - both)
+                out.append(np.stack([np.full(int(near.sum()), node[left[one]]), node[low + others[near]]], 1))
+    pairs = np.unique(np.sort(np.concatenate(out), 1), axis=0) if out else np.empty((0, 2), np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _by_first(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct values of ``i``, which is sorted, and the ``j`` of each."""
+    first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else i
+    return i[first], np.split(j, first[1:])
+
+
+class _Overlap:
+    """How many hashes the sets of a group have in common; for sets without their hashes, all."""
+
+    def __init__(self, cells: list[bytes]):
+        parts = [np.frombuffer(c, np.uint32, offset=BINS) for c in cells]
+        self.sizes = np.array([len(p) for p in parts])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        values, self.ids = np.unique(np.concatenate(parts), return_inverse=True)
+        self.held = np.zeros(len(values), bool)
+
+    def of(self, one: int, others: np.ndarray) -> np.ndarray:
+        out = np.full(len(others), WHOLE * WHOLE)
+        known = np.flatnonzero(self.sizes[others] > 0) if self.sizes[one] else others[:0]
+        if len(known):
+            own = self.ids[self.starts[one] : self.starts[one] + self.sizes[one]]
+            sizes = self.sizes[others[known]]
+            ends = np.cumsum(sizes)
+            place = np.repeat(self.starts[others[known]] - ends + sizes, sizes) + np.arange(int(ends[-1]))
+            self.held[own] = True
+            out[known] = np.add.reduceat(self.held[self.ids[place]].astype(np.int64), ends - sizes)
+            self.held[own] = False
+        return out
 
 
 def near_duplicates(
@@ -227,27 +298,17 @@ def near_duplicates(
     texts = rows.join(involved, ["id", "digest"]).select("node", "text")
     texts = saved(texts.dropDuplicates(["node"]), "texts")
 
-    first = members.groupBy("key").agg(F.min_by(F.struct("node", "n_shingles"), "node").alias("c"))
+    first = members.groupBy("key").agg(F.min(F.struct("node", "n_shingles")).alias("c"))
     tested = saved(_propose(members, first), "pairs")
     links = saved(confirm(tested, texts), "links")
-    joined = components(links)
-    crowd = _crowd(members, sets, joined)
-    done, upto = 0, 2
-    while not crowd.isEmpty():
-        # Members whose component has changed since are compared by the one they have now.
-        now = _placed(crowd.drop("component"), joined) if done else crowd
-        centres = now.filter((F.col("rank") > done) & (F.col("rank") <= upto))
-        pairs = _propose(now, centres.select("key", _centre("sketch", "component")))
-        pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        more = saved(confirm(pairs, texts), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            joined = components(links)
-        if now.filter(F.col("rank") > upto).isEmpty():
-            break
-        done, upto = upto, 4 * upto
-    return _named_components(known, listed, sets, links, joined)
+    joined = saved(components(links), "joined")
+    across = saved(_across(members, sets, joined), "pairs")
+    more = saved(confirm(across.join(tested, ["a", "b"], "left_anti"), texts), "links")
+    if not more.isEmpty():
+        joined = extended(joined, more)
+    for table in (members, texts, tested, across, links, more):
+        discard(table)
+    return _named_components(known, listed, sets, joined)
 
 
 def _distinct_sets(listed: DataFrame) -> DataFrame:
@@ -268,59 +329,71 @@ def _distinct_sets(listed: DataFrame) -> DataFrame:
     ).drop("rank")
 
 
-def _centre(*more: str) -> Column:
-    return F.struct("node", "n_shingles", *more).alias("c")
-
-
 def _propose(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Distinct possible pairs of a centre and a member of its bucket, smaller node first.
-
-    Where components are known, only pairs across them, as far as their sets may be similar.
-    """
+    """Distinct pairs of a centre and a member of its bucket whose sizes allow it, smaller node first."""
     c = F.col("c")
     near = (F.col("node") != c["node"]) & (
         F.greatest("n_shingles", c["n_shingles"]) * PERCENT <= F.least("n_shingles", c["n_shingles"]) * 100
     )
-    if "component" in members.columns:
-        near &= F.col("component") != c["component"]
-        near &= _possible(F.col("n_shingles"), c["n_shingles"], F.col("sketch"), c["sketch"])
     pair = F.least("node", c["node"]).alias("a"), F.greatest("node", c["node"]).alias("b")
     return members.join(centres, "key").filter(near).select(*pair).distinct()
 
 
-def _placed(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """Members with their component."""
-    own = F.coalesce("component", "node")
-    return members.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn("component", own)
-
-
-def _crowd(members: DataFrame, sets: DataFrame, joined: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components, those outside the largest numbered.
+def _across(members: DataFrame, sets: DataFrame, joined: DataFrame) -> DataFrame:
+    """Distinct pairs of different components in a bucket that may be similar.
 
-    Of any two members of different components, one is outside the largest, and stays so or
-    joins it: numbers are given once, in an order of the bucket's own.
+    Members outside the largest component of their bucket are far, the others near. Both are cut into
+    blocks by a hash; far blocks meet each other and each near block, and a group of rows is one
+    such meeting. Pairs of near members need no comparison.
     """
-    placed = _placed(members, joined)
-    largest = (
+    own = F.coalesce("component", "node")
+    placed = members.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn("component", own)
+    counts = (
         placed.groupBy("key", "component")
         .agg(F.count("*").alias("n"))
         .groupBy("key")
-        .agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
+        .agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds"))
         .filter("kinds > 1")
-        .select("key", F.col("most.component").alias("main"))
     )
-    mixed = placed.join(largest, "key")
-    order = Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
-    outside = mixed.filter("component <> main").select(
-        "key", "node", F.row_number().over(order).alias("rank")
+
+    def blocks(n: Column) -> Column:
+        return F.ceil(n / F.lit(BLOCK)).cast("int")
+
+    counts = counts.select(
+        "key",
+        F.col("main.component").alias("main"),
+        blocks(F.col("n") - F.col("main.n")).alias("fars"),
+        blocks(F.col("main.n")).alias("nears"),
+    )
+    mixed = placed.join(counts, "key").withColumn("far", F.col("component") != F.col("main"))
+    hashed = F.xxhash64("key", "node")
+    block = F.pmod(hashed, F.when(F.col("far"), F.col("fars")).otherwise(F.col("nears"))).cast("int")
+
+    def meeting(part: int, first: Column, second: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), first.cast("int").alias("first"), second.cast("int").alias("second"))
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    with_far = F.transform(upto("fars"), lambda i: meeting(0, F.least(i, F.col("block")), F.greatest(i, F.col("block"))))
+    with_near = F.transform(upto("nears"), lambda i: meeting(1, F.col("block"), i))
+    of_near = F.transform(upto("fars"), lambda i: meeting(1, i, F.col("block")))
+    rows = mixed.withColumn("block", block).select(
+        "key",
+        "node",
+        "component",
+        "n_shingles",
+        "far",
+        F.explode(F.when(F.col("far"), F.concat(with_far, with_near)).otherwise(of_near)).alias("m"),
     )
-    numbered = mixed.drop("main").join(outside, ["key", "node"], "left")
-    return saved(numbered.join(sets.select("node", "sketch"), "node"), "crowd")
+    sketches = sets.select("node", "sketch")
+    dealt = rows.select("key", "m.*", "node", "component", "n_shingles", "far").join(sketches, "node")
+    groups = ["key", "part", "first", "second"]
+    ordered = dealt.repartition(*groups).sortWithinPartitions(*groups)
+    return ordered.mapInArrow(_compare, "a bigint, b bigint").distinct()
 
 
-def _named_components(
-    known: DataFrame, listed: DataFrame, sets: DataFrame, links: DataFrame, joined: DataFrame
-) -> DataFrame:
+def _named_components(known: DataFrame, listed: DataFrame, sets: DataFrame, joined: DataFrame) -> DataFrame:
     """Components of documents from those of sets."""
     keys = ["set_a", "set_b", "n_shingles"]
     placed = listed.select("id", *keys).join(sets.select(*keys, "node"), keys).select("id", "node")
@@ -333,7 +406,7 @@ def _named_components(
     )
     ties = placed.join(several, "id").selectExpr("low AS a", "node AS b").filter("a <> b")
     if not ties.isEmpty():
-        joined = components(links.unionByName(ties))
+        joined = extended(joined, ties)
     joined = joined.withColumnRenamed("id", "node")
     of_row = placed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = of_row.groupBy("component").agg(F.min("id").alias("component_id"))
