@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 _random = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,3 +131,19 @@ def normalise(
     inside = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     out[place[word] + inside] = data[starts[word] + inside]
     return out, place, place + lengths, first_word
+
+
+def join_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray, texts: int) -> pa.Array:
+    """Some words of each of ``texts`` texts, in order of the texts, joined by one space."""
+    lengths = ends - starts
+    count = np.bincount(text, minlength=texts)
+    sizes = np.bincount(text, weights=lengths, minlength=texts).astype(np.int64) + np.maximum(count - 1, 0)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.full(int(bounds[-1]), 0x20, np.uint8)
+    # Words stand one space apart, texts without.
+    place = np.cumsum(lengths) - lengths + np.arange(len(starts))
+    place -= np.concatenate([[0], np.cumsum(count > 0)])[text]
+    word = np.repeat(np.arange(len(starts)), lengths)
+    inside = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[place[word] + inside] = data[starts[word] + inside]
+    return pa.LargeStringArray.from_buffers(texts, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(out))

@@ -309,22 +309,6 @@ def _repeat_tails(first: np.ndarray, seeds: pa.Array) -> np.ndarray | None:
     return number
 
 
-def _joined(data, starts, ends, text, texts) -> pa.Array:
-    """The words of each text, joined by one space."""
-    lengths = ends - starts
-    count = np.bincount(text, minlength=texts)
-    sizes = np.bincount(text, weights=lengths, minlength=texts).astype(np.int64) + np.maximum(count - 1, 0)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    out = np.full(int(bounds[-1]), 0x20, np.uint8)
-    # Words stand one space apart, texts without.
-    place = np.cumsum(lengths) - lengths + np.arange(len(starts))
-    place -= np.concatenate([[0], np.cumsum(count > 0)])[text]
-    word = np.repeat(np.arange(len(starts)), lengths)
-    inside = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out[place[word] + inside] = data[starts[word] + inside]
-    return pa.LargeStringArray.from_buffers(texts, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(out))
-
-
 def periodic_runs(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tail_seed: Column | None = None
 ) -> DataFrame:
@@ -373,7 +357,7 @@ def periodic_runs(
                         part.column("id"),
                         pa.array(np.diff(first), pa.int64()),
                         pa.ListArray.from_arrays(pa.array(cuts), runs),
-                        _joined(data, starts[kept], ends[kept], owner[kept], len(part)).cast(pa.string()),
+                        hashing.join_words(data, starts[kept], ends[kept], owner[kept], len(part)).cast(pa.string()),
                     ],
                     ["id", "n_words", "runs", "collapsed"],
                 )

@@ -1,21 +1,23 @@
-"""Repeated word windows by content-defined phrases and window hashes.
-
-A relative Lempel-Ziv parse would index the corpus in blocks and parse each document greedily
-against each of them, which reads everything against everything. No such parse takes place
-here. Both sides are cut where the content says
-so: the anchor of a window is its least hash of ``ANCHOR`` words, and consecutive windows
-with one anchor are a run. Equal windows have equal anchors. The runs are the phrases of
-the reference, its blocks are the hash partitions of the anchors, and a document meets
-exactly the blocks that hold one of its anchors.
-
-In place of factors stand whole phrases: a run whose phrase occurs again is repeated (and
-runs that follow each other are a longer repeat). At their boundaries, where an anchor
-occurs again but the phrase around it differs, the windows are looked up one by one
-among those of all phrases with the anchor. As each phrase holds at least a whole
-window, all are long enough, and their words are the repeated spans.
-
-Three passes over the texts: phrases, windows of the boundaries, removal. What is
-shuffled between them is hashes; phrases are reduced to one row and a count per task first.
+"""Repeated word windows by a relative Lempel-Ziv parse against blocks of the corpus.
+
+The reference is the corpus itself, in blocks that hold the texts in which a window can occur again:
+the anchor of a window is its least hash of ``ANCHOR`` words, consecutive windows with one
+anchor are a phrase, and a block has all phrases of some anchors. Equal windows have equal
+anchors, so a phrase is parsed against the block of its anchor and needs no other.
+
+A block is indexed by its suffixes: all places of its phrases at which a window starts, sorted by
+their words (multikey quicksort), with the number of words that neighbours share. The longest factor at a
+place is the longer of the two stretches it shares with its neighbours. Each phrase is
+factored greedily from its first word; a factor of at least a window is repeated, and after it the
+windows across its end are looked up before the parse goes on behind it. So every window that
+occurs again lies in a factor.
+
+Phrases that a block has twice are one factor as a whole and need no parse; phrases of an anchor that occurs
+once are not sent. A frequent anchor would fill a block, so its phrases are sent as hashes of
+their windows, dealt by these: factors of one window each.
+
+The corpus is stored in cells of some MB of whole texts (:mod:`cells`), so that a passage that a
+third of all texts share is one row a cell.
 """
 
 from __future__ import annotations
@@ -27,50 +29,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicmart.llm import hashing
-from clinicmart.llm.common import bound_batches, named, saved, text_chunks
+from clinicmart.llm import cells, hashing
+from clinicmart.llm.cells import expanded, member, multikey, packed, runs_of
+from clinicmart.llm.common import CHUNK_BYTES, bound_batches, named, text_chunks
 
 WINDOW = 35
 ANCHOR = 8
-_LOW = np.uint64((1 << 26) - 1)
+#: Text that a block stands for.
+BLOCK_BYTES = 16 << 20
+#: An anchor with this many places in the sample is dealt window by window.
+FREQUENT = 16
+#: Windows sorted at once, where they belong to several anchors.
+_AT_ONCE = 1 << 19
+_LOW = np.uint64((1 << 23) - 1)
 
 
-class Phrases:
-    """Words, windows and runs of the texts of one chunk.
+def find_phrases(words: np.ndarray, first: np.ndarray, window: int, anchor: int):
+    """``(first window, windows, anchor, phrase)`` of the phrases of some texts.
 
-    For each run: ``text`` it is of, first window ``begin`` and last window ``end``
-    (inclusive, counted over all words of the chunk), ``anchor`` and ``phrase`` hashes.
+    ``words`` are hashes of words, ``first`` the first word of each text and the total; windows are
+    counted by the word they start at, ``anchor`` and ``phrase`` are hashes.
     """
-
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR):
-        self.starts, self.ends, self.first = hashing.find_words(data, bounds, hashing.SPACE)
-        words = hashing.hash_words(data, self.starts, self.ends)
-        self.windows = hashing.mix(hashing.roll(words, window))
-        empty = np.empty(0, np.int64)
-        self.text = self.begin = self.end = empty
-        self.anchor = self.phrase = empty
-        if not len(self.windows):
-            return
-        owner = hashing.owners(self.first)
-        whole = np.flatnonzero(owner[: len(self.windows)] == owner[window - 1 :])
-        if not len(whole):
-            return
-        parts = hashing.mix(hashing.roll(words, anchor))
-        place = _least(parts, window - anchor + 1)[whole]
-        cut = np.ones(len(whole), bool)
-        cut[1:] = (place[1:] != place[:-1]) | (owner[whole[1:]] != owner[whole[:-1]])
-        at = np.flatnonzero(cut)
-        self.begin = whole[at]
-        self.end = whole[np.append(at[1:], len(whole)) - 1]
-        self.text = owner[self.begin]
-        self.anchor = parts[place[at]].view(np.int64)
-        # A run is shorter than two windows, so its first and last window hold all its words.
-        ends = self.windows[self.begin] * np.uint64(0x9E3779B97F4A7C15) + self.windows[self.end]
-        self.phrase = hashing.mix(ends + (self.end - self.begin).astype(np.uint64)).view(np.int64)
-
-    def by_text(self) -> np.ndarray:
-        """The first run of each text, with the total at the end."""
-        return np.searchsorted(self.text, np.arange(len(self.first)))
+    none = np.empty(0, np.int64)
+    total = len(words) - window + 1
+    if total <= 0:
+        return none, none, none.astype(np.uint64), none.astype(np.uint64)
+    owner = hashing.owners(first)
+    whole = np.flatnonzero(owner[:total] == owner[window - 1 :])
+    parts = hashing.mix(hashing.roll(words, anchor))
+    place = _least(parts, window - anchor + 1)[whole]
+    cut = np.ones(len(whole), bool)
+    cut[1:] = (place[1:] != place[:-1]) | (owner[whole[1:]] != owner[whole[:-1]])
+    at = np.flatnonzero(cut)
+    begin, windows = whole[at], np.diff(np.append(at, len(whole)))
+    rolled = hashing.roll(words, window)
+    # A phrase is shorter than two windows, so its first and last window hold all its words.
+    ends = hashing.mix(rolled[begin]) * np.uint64(0x9E3779B97F4A7C15) + rolled[begin + windows - 1]
+    return begin, windows, parts[place[at]], hashing.mix(ends + windows.astype(np.uint64))
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -90,72 +85,265 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _list(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))
-
-
-def _phrases(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``(id, digest, anchor, phrase, n)``: the phrases of each text and how often it has them (at most 2)."""
+def _cut(window: int, anchor: int, cell_bytes: int):
+    """Texts that follow each other in a task, as one row with their phrases."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, found, size = [], [], [], 0
         for batch in batches:
-            for rows, data, bounds in text_chunks(batch, "text"):
-                found = Phrases(data, bounds, window, anchor)
-                key = np.stack([found.text, found.anchor, found.phrase], 1)
-                key, n = np.unique(key, axis=0, return_counts=True) if len(key) else (key, key[:, 0])
-                text = pa.array(key[:, 0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("id").take(text),
-                        rows.column("digest").take(text),
-                        pa.array(key[:, 1], pa.int64()),
-                        pa.array(key[:, 2], pa.int64()),
-                        pa.array(np.minimum(n, 2), pa.int64()),
-                    ],
-                    ["id", "digest", "anchor", "phrase", "n"],
-                )
-
-    kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(cut, f"id {kind}, digest bigint, anchor bigint, phrase bigint, n bigint")
-
-
-def _boundary_windows(wanted: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``(phrase, anchor, window)`` of the phrases each row asks for, from its text."""
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, data, bounds in text_chunks(batch, "text", min(CHUNK_BYTES, cell_bytes) // 2):
+                if size and size + len(data) > cell_bytes:
+                    yield _cell(ids, texts, found)
+                    ids, texts, found, size = [], [], [], 0
+                starts, ends, first = hashing.find_words(data, bounds, hashing.SPACE)
+                words = hashing.hash_words(data, starts, ends)
+                ids.append(rows.column("id"))
+                texts.append((data, np.diff(bounds)))
+                found.append(find_phrases(words, first, window, anchor)[1:])
+                size += len(data)
+        if ids:
+            yield _cell(ids, texts, found)
+
+    return cut
+
+
+def _cell(ids: list, texts: list, found: list) -> pa.RecordBatch:
+    windows, anchors, phrases = (np.concatenate(part) for part in zip(*found))
+    lists = pa.chunked_array(ids).combine_chunks()
+    values = [
+        pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists),
+        packed(np.concatenate([n for _, n in texts])),
+        packed(np.concatenate([d for d, _ in texts])),
+        packed(windows.astype(np.uint16)),
+        *[pa.array([x.tobytes()], pa.binary()) for x in (anchors, phrases, anchors[cells.sampled(len(anchors))])],
+    ]
+    return pa.RecordBatch.from_arrays(values, ["ids", "sizes", "data", "windows", "anchors", "phrases", "sample"])
+
+
+class Cell:
+    """A stored cell: its texts, their words, and their phrases."""
+
+    def __init__(self, table: pa.Table, window: int, texts: bool = True):
+        row = {c: table.column(c)[0] for c in table.column_names}
+        self.number, self.window = row["cell"].as_py(), window
+        self.anchors, self.phrases = (np.frombuffer(row[c].as_buffer(), np.uint64) for c in ("anchors", "phrases"))
+        if not texts:
+            return
+        self.ids = row["ids"].values
+        sizes = cells.unpacked(row["sizes"].as_buffer(), np.int64)
+        self.data = cells.unpacked(row["data"].as_buffer(), np.uint8)
+        self.windows = cells.unpacked(row["windows"].as_buffer(), np.uint16).astype(np.int64)
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
+        self.starts, self.ends, self.first = hashing.find_words(self.data, self.bounds, hashing.SPACE)
+        # The windows of all texts, phrase after phrase.
+        many = np.maximum(np.diff(self.first) - window + 1, 0)
+        number = np.cumsum(self.windows) - self.windows
+        text = np.searchsorted(np.cumsum(many), number, "right")
+        self.begin = number - (np.cumsum(many) - many)[text] + self.first[:-1][text]
+
+    def asked(self, parts: int) -> cells.Asked:
+        """Its anchors; several are those that it has more than once."""
+        return cells.Asked(self.anchors, lambda order, first, end: end - first > 1, parts)
+
+    def windows_of(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(first word, hash)`` of the windows of some phrases."""
+        which, inner = expanded(self.windows[phrases])
+        place = self.begin[phrases][which] + inner
+        needed = np.zeros(len(self.starts) + 1, np.int64)
+        np.add.at(needed, self.begin[phrases], 1)
+        np.add.at(needed, self.begin[phrases] + self.windows[phrases] + self.window - 1, -1)
+        used = np.flatnonzero(np.cumsum(needed)[:-1] > 0)
+        words = hashing.hash_words(self.data, self.starts[used], self.ends[used]) if len(used) else used.astype(np.uint64)
+        # Words in use stand next to each other wherever a window does.
+        hashes = hashing.mix(hashing.roll(words, self.window)) if len(used) else words
+        return place, hashes[np.searchsorted(used, place)]
+
+
+def _once_or_twice(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order, a place of each, and how often each occurs (at most twice)."""
+    values, place, count = np.unique(hashes, return_index=True, return_counts=True)
+    return values, place, np.minimum(count, 2)
+
+
+def _ask(parts: int, window: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, bounds in text_chunks(batch, "text"):
-                found = Phrases(data, bounds, window, anchor)
-                runs = found.by_text()
-                asked = rows.column("phrases")
-                keep = np.zeros(len(found.text), bool)
-                for i in range(len(rows)):
-                    mine = slice(runs[i], runs[i + 1])
-                    keep[mine] = np.isin(found.phrase[mine], asked[i].values.to_numpy())
-                at = np.flatnonzero(keep)
-                sizes = found.end[at] - found.begin[at] + 1
-                place = np.repeat(found.begin[at], sizes) + _counts(sizes)
-                cells = np.stack(
-                    [
-                        np.repeat(found.phrase[at], sizes),
-                        np.repeat(found.anchor[at], sizes),
-                        found.windows[place].view(np.int64),
-                    ],
-                    1,
-                )
-                cells = np.unique(cells, axis=0) if len(cells) else cells
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in cells.T], ["phrase", "anchor", "window"]
-                )
-
-    return wanted.select("text", "phrases").mapInArrow(
-        look, "phrase bigint, anchor bigint, window bigint"
-    )
+            for i in range(batch.num_rows):
+                cell = Cell(pa.Table.from_batches([batch.slice(i, 1)]), window, texts=False)
+                yield cell.asked(parts).rows(cell.number)
+
+    return ask
+
+
+def _block_of(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    return (hashing.mix(hashes) % np.uint64(blocks)).astype(np.int64)
+
+
+def _deal(parts: int, blocks: int, frequent: np.ndarray, window: int):
+    """The phrases of a cell for each block: whose anchors occur elsewhere, each once."""
+
+    def deal(table: pa.Table, answers: pa.Table) -> pa.Table:
+        cell = Cell(table, window)
+        wanted = member(cell.asked(parts).shared(answers), cell.anchors)
+        often = wanted & member(frequent, cell.anchors)
+        rare = np.flatnonzero(wanted & ~often)
+        phrases, place, count = _once_or_twice(cell.phrases[rare])
+        rare = rare[place]
+        _, single = cell.windows_of(np.flatnonzero(often))
+        single, _, single_count = _once_or_twice(single)
+        of_phrase, of_single = _block_of(cell.anchors[rare], blocks), _block_of(single, blocks)
+        names, rows = [], []
+        for block in np.union1d(of_phrase, of_single):
+            mine = np.flatnonzero(of_phrase == block)
+            alone = np.flatnonzero(of_single == block)
+            at = rare[mine]
+            low, high = cell.starts[cell.begin[at]], cell.ends[cell.begin[at] + cell.windows[at] + window - 2]
+            texts = b"".join(cell.data[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist()))
+            parts_ = (
+                np.array([len(mine), len(alone)], np.int64), cell.anchors[at], phrases[mine], count[mine].astype(np.uint8),
+                (high - low).astype(np.uint32), single[alone], single_count[alone].astype(np.uint8),
+            )
+            names.append(int(block))
+            rows.append(cells.compressed(b"".join(p.tobytes() for p in parts_) + texts))
+        return pa.table(
+            {
+                "cell": pa.array([cell.number] * len(names), pa.int64()),
+                "block": pa.array(names, pa.int32()),
+                "rows": pa.array(rows, pa.binary()),
+            }
+        )
 
+    return deal
+
+
+class Block:
+    """The phrases of some anchors and the windows dealt one by one, from several cells."""
+
+    def __init__(self, blobs: list[bytes]):
+        fields: list[list] = [[] for _ in range(6)]
+        texts = []
+        for blob in blobs:
+            raw = cells.unpacked(blob, np.uint8)
+            n, m = np.frombuffer(raw, np.int64, 2)
+            at = 16
+            kinds = ((np.uint64, n), (np.uint64, n), (np.uint8, n), (np.uint32, n), (np.uint64, m), (np.uint8, m))
+            for field, (kind, size) in zip(fields, kinds):
+                field.append(np.frombuffer(raw, kind, size, at))
+                at += int(size) * np.dtype(kind).itemsize
+            texts.append(raw[at:])
+        self.sizes = np.array([len(x) for x in fields[0]]), np.array([len(x) for x in fields[4]])
+        self.anchors, self.phrases, count, lengths, self.single, single_count = (np.concatenate(x) for x in fields)
+        self.count, self.single_count = count.astype(np.int64), single_count.astype(np.int64)
+        self.data = np.concatenate(texts)
+        self.bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def repeated_singles(block: Block) -> np.ndarray:
+    """Which of the windows dealt one by one occur again."""
+    values, which = np.unique(block.single, return_inverse=True)
+    return np.bincount(which, block.single_count, len(values))[which] > 1
+
+
+def factors(block: Block, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, start, words)`` of the long factors of each phrase of a block."""
+    none = (np.empty(0, np.int64),) * 3
+    if not len(block.phrases):
+        return none
+    kinds, example, kind = np.unique(block.phrases, return_index=True, return_inverse=True)
+    again = np.bincount(kind, block.count, len(kinds)) > 1
+    starts, ends, first = hashing.find_words(block.data, block.bounds, hashing.SPACE)
+    length = np.diff(first)[example]
+    # Anchors with several phrases, of which some occur once.
+    order = np.argsort(block.anchors[example], kind="stable")
+    cuts = runs_of(block.anchors[example][order])
+    sizes = np.diff(np.append(cuts, len(order)))
+    alone = np.add.reduceat((~again[order]).astype(np.int64), cuts)
+    mixed = np.repeat((sizes > 1) & (alone > 0), sizes)
+    order = order[mixed]
+    cuts = runs_of(block.anchors[example][order])
+    found = [(np.flatnonzero(again), np.zeros(int(again.sum()), np.int64), length[again])]
+    for group in cells.batches(order, cuts, length - window + 1, _AT_ONCE):
+        texts = example[group]
+        which, inner = expanded(length[group])
+        place = first[texts][which] + inner
+        used = np.unique(place)
+        words = hashing.hash_words(block.data, starts[used], ends[used])[np.searchsorted(used, place)]
+        phrase, start, size = _parse(words, length[group], window)
+        once = ~again[group[phrase]]
+        found.append((group[phrase[once]], start[once], size[once]))
+    which, start, size = (np.concatenate(x) for x in zip(*found))
+    # From distinct phrases back to all rows.
+    order = np.argsort(which, kind="stable")
+    which, start, size = which[order], start[order], size[order]
+    low, high = np.searchsorted(which, kind, "left"), np.searchsorted(which, kind, "right")
+    row, inner = expanded(high - low)
+    return row, start[low[row] + inner], size[low[row] + inner]
+
+
+def _parse(words: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(phrase, start, words)``: long factors of different phrases, each against all of them.
+
+    ``words`` are the hashes of the words of one phrase after another.
+    """
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    which, inner = expanded(lengths - window + 1)
+    place, left = bounds[which] + inner, lengths[which] - inner
+
+    def word(k: int):
+        # Words end with their phrase; what is behind it is shared with nothing that goes on.
+        return lambda rows: np.where(k < left[rows], words[np.minimum(place[rows] + k, len(words) - 1)], np.uint64(0))
+
+    order, _, shared = multikey(len(place), (word(k) for k in range(int(lengths.max()))))
+    longest = np.zeros(len(place), np.int64)
+    if len(order) > 1:
+        before = np.minimum(shared[1:], np.minimum(left[order][1:], left[order][:-1]))
+        longest[order[1:]] = before
+        longest[order[:-1]] = np.maximum(longest[order[:-1]], before)
+    # The next place of the same phrase at which a long factor begins.
+    long = np.where(longest >= window, np.arange(len(place)), len(place))
+    follows = np.append(np.minimum.accumulate(long[::-1])[::-1], len(place))
+    ends = np.cumsum(lengths - window + 1)
+    now, out = ends - (lengths - window + 1), []
+    phrase = np.arange(len(lengths))
+    while len(now):
+        at = follows[now]
+        inside = at < ends[phrase]
+        phrase, at = phrase[inside], at[inside]
+        out.append((phrase, inner[at], longest[at]))
+        # Behind the factor, but first at the windows across its end.
+        now = np.minimum(np.maximum(at + 1, at + longest[at] - window + 1), ends[phrase])
+        going = now < ends[phrase]
+        phrase, now = phrase[going], now[going]
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+_FOUND = np.dtype([("hash", np.uint64), ("start", np.uint16), ("words", np.uint16)])
+
+
+def _answer(window: int):
+    """The factors of the phrases of each cell, and its single windows that occur again, by their hashes."""
+
+    def answer(dealt: pa.Table) -> pa.Table:
+        block = Block(dealt.column("rows").to_pylist())
+        row, start, words = factors(block, window)
+        out = np.empty(len(row), _FOUND)
+        out["hash"], out["start"], out["words"] = block.phrases[row], start, words
+        again = np.flatnonzero(repeated_singles(block))
+        ends, single_ends = (np.cumsum(sizes) for sizes in block.sizes)
+        of_row, of_single = np.searchsorted(ends, row, "right"), np.searchsorted(single_ends, again, "right")
+        full = np.union1d(of_row, of_single)
+        order = np.argsort(of_row, kind="stable")
+        lows, highs = (np.searchsorted(of_row[order], full, side) for side in ("left", "right"))
+        first, last = (np.searchsorted(of_single, full, side) for side in ("left", "right"))
+        return pa.table(
+            {
+                "cell": dealt.column("cell").take(pa.array(full, pa.int64())),
+                "found": pa.array([out[order[a:b]].tobytes() for a, b in zip(lows, highs)], pa.binary()),
+                "single": pa.array([block.single[again[a:b]].tobytes() for a, b in zip(first, last)], pa.binary()),
+            }
+        )
 
-def _counts(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each size."""
-    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return answer
 
 
 def repeated(
@@ -177,121 +365,81 @@ def repeated(
     if anchor > window:
         raise ValueError("an anchor is not longer than a window")
     bound_batches(docs.sparkSession)
-    # Rows are told apart by id and text; rows equal in both have the same result.
-    texts = named(docs, id=id_column, text=text_column).withColumn("digest", F.xxhash64("text"))
-    phrases = _phrases(texts.filter("text IS NOT NULL"), window, anchor)
-
-    counted = phrases.groupBy("anchor", "phrase").agg(
-        F.sum("n").alias("n"), F.min(F.struct("id", "digest")).alias("who")
-    )
-    anchors = counted.groupBy("anchor").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-    again = counted.join(anchors.filter("all > 1"), "anchor")
-    again = saved(again.select("anchor", "phrase", "n", "kinds", "who"), "phrases")
-
-    # Anchors with several phrases: their windows, each phrase read from one text that has it.
-    open_anchors = again.filter("kinds > 1").groupBy("anchor").agg(F.min("n").alias("least")).filter("least = 1")
-    asked = again.join(open_anchors.select("anchor"), "anchor")
-    places = asked.groupBy(F.col("who.id").alias("_id"), F.col("who.digest").alias("_digest")).agg(
-        F.collect_set("phrase").alias("phrases")
+    texts = named(docs, id=id_column, text=text_column)
+    kind = texts.schema["id"].dataType.simpleString()
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    stored = cells.stored(
+        texts.mapInArrow(
+            _cut(window, anchor, cells.CELL_BYTES),
+            f"ids array<{kind}>, sizes binary, data binary, windows binary, anchors binary, phrases binary, sample binary",
+        ),
+        size,
     )
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    wanted = texts.join(places, same).dropDuplicates(["id", "digest"])
-    cells = _boundary_windows(wanted, window, anchor).distinct()
-    cells = cells.join(again.select("anchor", "phrase", "n"), ["anchor", "phrase"])
-    shared = cells.groupBy("anchor", "window").agg(
-        F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") == 1, F.col("phrase"))).alias("phrases")
-    ).filter("n > 1")
-    partial = shared.select(F.explode("phrases").alias("phrase"), "anchor", "window")
-    partial = partial.groupBy("anchor", "phrase").agg(F.collect_list("window").alias("windows"))
-
-    factors = (
-        again.join(partial, ["anchor", "phrase"], "left")
-        .filter("n > 1 OR windows IS NOT NULL")
-        .select("anchor", "phrase", F.when(F.col("n") == 1, F.col("windows")).alias("windows"))
+    parts, blocks = cells.parts_of(size), max(1, -(-size // BLOCK_BYTES))
+    values, count = np.unique(np.frombuffer(cells.sample(stored), np.uint64), return_counts=True)
+    frequent = values[count >= FREQUENT]
+
+    asked = stored.select("cell", "anchors", "phrases").mapInArrow(_ask(parts, window), cells.ASKED)
+    shared = asked.groupBy("part").applyInArrow(cells.answer_shared, cells.ANSWERED)
+    dealt = stored.groupBy("cell").cogroup(shared.groupBy("cell")).applyInArrow(
+        _deal(parts, blocks, frequent, window), "cell bigint, block int, rows binary"
     )
-    factors = saved(factors, "factors")
-    marks = (
-        phrases.select("id", "digest", "anchor", "phrase")
-        .join(factors, ["anchor", "phrase"])
-        .groupBy(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
-        .agg(
-            F.collect_set(F.when(F.col("windows").isNull(), F.col("phrase"))).alias("phrases"),
-            F.flatten(F.collect_list("windows")).alias("windows"),
-        )
+    answers = dealt.groupBy("block").applyInArrow(_answer(window), "cell bigint, found binary, single binary")
+    return stored.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(
+        _remove(frequent, window),
+        f"id {kind}, n_words bigint, n_removed bigint, kept string, spans array<struct<start:int,end:int>>",
     )
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    marked = texts.join(marks, same, "left").select("id", "text", "phrases", "windows")
-    return _remove(marked, window, anchor)
 
 
-def _remove(marked: DataFrame, window: int, anchor: int) -> DataFrame:
-    spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, bounds in text_chunks(batch, "text"):
-                found = Phrases(data, bounds, window, anchor)
-                runs = found.by_text()
-                gone, kept, spans = [], [], []
-                for i in range(len(rows)):
-                    low, high = int(found.first[i]), int(found.first[i + 1])
-                    covered = _covered(found, runs, i, rows, window) if runs[i] < runs[i + 1] else None
-                    if covered is None or not covered.any():
-                        covered = np.zeros(high - low, bool)
-                    stay = np.flatnonzero(~covered) + low
-                    words = zip(found.starts[stay].tolist(), found.ends[stay].tolist())
-                    own = data[bounds[i] : bounds[i + 1]].tobytes()
-                    at = int(bounds[i])
-                    kept.append(b" ".join([own[s - at : e - at] for s, e in words]).decode())
-                    gone.append(int(covered.sum()))
-                    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered, [0]])))
-                    spans.append(
-                        [{"start": s, "end": e} for s, e in zip(edges[::2].tolist(), edges[1::2].tolist())]
-                    )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("id"),
-                        pa.array(np.diff(found.first), pa.int64()),
-                        pa.array(gone, pa.int64()),
-                        pa.array(kept, pa.string()),
-                        pa.array(spans, spans_type),
-                    ],
-                    ["id", "n_words", "n_removed", "kept", "spans"],
-                )
-
-    kind = marked.schema["id"].dataType.simpleString()
-    return marked.mapInArrow(
-        remove,
-        f"id {kind}, n_words bigint, n_removed bigint, kept string, "
-        "spans array<struct<start:int,end:int>>",
-    )
-
+def _remove(frequent: np.ndarray, window: int):
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+
+    def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
+        cell = Cell(table, window)
+        depth = np.zeros(len(cell.starts) + 1, np.int64)
+        found = np.frombuffer(b"".join(answers.column("found").to_pylist()), _FOUND)
+        found = found[np.argsort(found["hash"], kind="stable")]
+        rare = ~member(frequent, cell.anchors)
+        low, high = (np.searchsorted(found["hash"], cell.phrases, side) for side in ("left", "right"))
+        which, inner = expanded(np.where(rare, high - low, 0))
+        hit = found[low[which] + inner]
+        begin = cell.begin[which] + hit["start"]
+        np.add.at(depth, begin, 1)
+        np.add.at(depth, begin + hit["words"], -1)
+        single = np.sort(np.frombuffer(b"".join(answers.column("single").to_pylist()), np.uint64))
+        if len(single):
+            place, hashes = cell.windows_of(np.flatnonzero(~rare))
+            place = place[member(single, hashes)]
+            np.add.at(depth, place, 1)
+            np.add.at(depth, place + window, -1)
+        gone = np.cumsum(depth)[:-1] > 0
+        many = len(cell.ids)
+        owner = hashing.owners(cell.first)
+        removed = np.bincount(owner[gone], minlength=many)
+        edge = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+        before, after = np.append(False, gone[:-1])[: len(gone)], np.append(gone[1:], False)[: len(gone)]
+        # Texts do not go on in the next one.
+        before[edge] = False
+        after[edge[1:] - 1] = False
+        starts, ends = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+        base = cell.first[owner[starts]]
+        spans = pa.StructArray.from_arrays(
+            [pa.array((starts - base).astype(np.int32)), pa.array((ends - base).astype(np.int32))], fields=list(span)
+        )
+        cuts = np.searchsorted(owner[starts], np.arange(many + 1)).astype(np.int32)
+        stay = np.flatnonzero(~gone)
+        kept = hashing.join_words(cell.data, cell.starts[stay], cell.ends[stay], owner[stay], many)
+        return pa.table(
+            {
+                "id": cell.ids,
+                "n_words": pa.array(np.diff(cell.first), pa.int64()),
+                "n_removed": pa.array(removed, pa.int64()),
+                "kept": kept.cast(pa.string()),
+                "spans": pa.ListArray.from_arrays(pa.array(cuts), spans),
+            }
+        )
 
-def _covered(
-    found: Phrases, runs: np.ndarray, i: int, rows: pa.RecordBatch, window: int
-) -> np.ndarray:
-    """Which words of a text stand in a repeated window."""
-    mine = slice(int(runs[i]), int(runs[i + 1]))
-    low, high = int(found.first[i]), int(found.first[i + 1])
-    phrases, windows = rows.column("phrases")[i], rows.column("windows")[i]
-    begin, end = found.begin[mine], found.end[mine]
-    whole = np.isin(found.phrase[mine], _numbers(phrases))
-    depth = np.zeros(high - low + 1, np.int64)
-    # Windows of a run overlap, so a run covers one range of words.
-    np.add.at(depth, begin[whole] - low, 1)
-    np.add.at(depth, end[whole] + window - low, -1)
-    single = _numbers(windows)
-    if len(single):
-        sizes = (end - begin + 1)[~whole]
-        place = np.repeat(begin[~whole], sizes) + _counts(sizes)
-        place = place[np.isin(found.windows[place].view(np.int64), single)]
-        np.add.at(depth, place - low, 1)
-        np.add.at(depth, place + window - low, -1)
-    return np.cumsum(depth)[:-1] > 0
-
-
-def _numbers(cell: pa.ListScalar) -> np.ndarray:
-    return cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else np.empty(0, np.int64)
+    return remove
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -6,8 +6,7 @@ Consecutive strings with one anchor are a run, and one row stands for all of the
 the anchor, as far as the run reaches, and the bytes of the run before it. Equal strings have
 equal anchors at equal places, so nothing is lost.
 
-The corpus is stored in cells, numbered rows of some MB of whole texts. Cells ask and are answered,
-so that a string which stands in a third of all texts is one row a cell:
+The corpus is stored in cells of some MB of whole texts, which ask and are answered:
 
 1. Anchors that occur in one text only are dropped, by hashes dealt to parts.
 2. Splitters sampled from the anchors deal the other suffixes to ranges by their leading bytes. An anchor
@@ -16,34 +15,25 @@ so that a string which stands in a third of all texts is one row a cell:
    the same anchor are compared, those that are equal first, then their strings. All rows of an anchor are in one range and
    equal strings of a frequent one too, so that no boundary lies between strings that are equal.
 4. The least id of each string goes back to the cells that hold it under a larger one.
-
-Cells are a bucketed table, so they are not shuffled to meet the answers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicmart.llm import hashing
-from clinicmart.llm.common import bound_batches, text_chunks
-from clinicmart.sources.store import work_root
+from clinicmart.llm import cells, hashing
+from clinicmart.llm.cells import expanded, multikey, packed
+from clinicmart.llm.common import CHUNK_BYTES, bound_batches, text_chunks
 
 LENGTH = 50
 ANCHOR = 16
-#: Text of one cell, of a bucket of cells, and text that a range of suffixes stands for.
-CELL_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
-RANGE_BYTES = 64 << 20
-#: Anchors sampled for splitters, over all cells (in the mean) and from one.
-SAMPLE = 1 << 16
-CELL_SAMPLE = 256
+#: Text that a range of suffixes stands for.
+RANGE_BYTES = 32 << 20
 #: An anchor with this many places in the sample is dealt string by string.
 FREQUENT = 16
 #: Strings compared at once.
@@ -103,53 +93,52 @@ def find_runs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return strings[at], np.diff(np.append(at, len(strings))), least[at]
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(cell_bytes: int):
     """Texts that follow each other in a task, as one row with its runs."""
-    ids, texts, runs, size = [], [], [], 0
-    for batch in batches:
-        for rows, data, bounds in text_chunks(batch, "text"):
-            if size and size + len(data) > CELL_BYTES:
-                yield _cell(ids, texts, runs)
-                ids, texts, runs, size = [], [], [], 0
-            begin, strings, anchor = find_runs(data, bounds)
-            ids.append(rows.column("id"))
-            texts.append((data, np.diff(bounds)))
-            runs.append((begin + size, strings, anchor + size))
-            size += len(data)
-    if ids:
-        yield _cell(ids, texts, runs)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, runs, size = [], [], [], 0
+        for batch in batches:
+            for rows, data, bounds in text_chunks(batch, "text", min(CHUNK_BYTES, cell_bytes) // 2):
+                if size and size + len(data) > cell_bytes:
+                    yield _cell(ids, texts, runs)
+                    ids, texts, runs, size = [], [], [], 0
+                begin, strings, anchor = find_runs(data, bounds)
+                ids.append(rows.column("id"))
+                texts.append((data, np.diff(bounds)))
+                runs.append((begin + size, strings, anchor + size))
+                size += len(data)
+        if ids:
+            yield _cell(ids, texts, runs)
+
+    return cut
 
 
 def _cell(ids, texts, runs) -> pa.RecordBatch:
     data = np.concatenate([d for d, _ in texts])
     begin, strings, anchor = (np.concatenate(part) for part in zip(*runs))
     # Evenly over the runs: as many anchors of each kind as there are runs of it.
-    some = np.linspace(0, len(anchor) - 1, min(CELL_SAMPLE, len(anchor))).astype(np.int64)
+    some = cells.sampled(len(anchor))
     sample = _padded(data)[(anchor[some] + 8 * _LEFT)[:, None] + np.arange(8 * _RIGHT)]
     lists = pa.chunked_array(ids).combine_chunks()
     values = [
         pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists),
-        *[_packed(x) for x in (np.concatenate([n for _, n in texts]), data, strings.astype(np.uint8))],
-        _packed((anchor - begin).astype(np.uint8)),
+        *[packed(x) for x in (np.concatenate([n for _, n in texts]), data, strings.astype(np.uint8))],
+        packed((anchor - begin).astype(np.uint8)),
         pa.array([sample.tobytes()], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(values, ["ids", "sizes", "data", "strings", "anchors", "sample"])
 
 
-def _packed(values: np.ndarray) -> pa.Array:
-    return pa.array([zstandard.ZstdCompressor(level=1).compress(values.tobytes())], pa.binary())
-
-
 class Cell:
     """A stored cell: its texts, and runs as the suffixes at their anchors."""
 
     def __init__(self, table: pa.Table):
-        unpack = zstandard.ZstdDecompressor().decompress
         row = {c: table.column(c)[0] for c in table.column_names}
         self.number = row["cell"].as_py()
         self.ids = row["ids"].values
         kinds = {"sizes": np.int64, "data": np.uint8, "strings": np.uint8, "anchors": np.uint8}
-        parts = {c: np.frombuffer(unpack(row[c].as_buffer()), kind) for c, kind in kinds.items()}
+        parts = {c: cells.unpacked(row[c].as_buffer(), kind) for c, kind in kinds.items()}
         self.bounds = np.concatenate([[0], np.cumsum(parts["sizes"])])
         self.data, self.strings = parts["data"], parts["strings"].astype(np.int64)
         # The strings of all texts, run after run.
@@ -165,16 +154,14 @@ class Cell:
     def hashes(self) -> np.ndarray:
         return _anchor_hash(self._words, self.anchor + 8 * _LEFT)
 
-    def asked(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchors, whether several texts here have each, and where each part begins."""
-        hashes = self.hashes()
-        order = np.argsort(hashes, kind="stable")
-        hashes, text = hashes[order], self.text[order]
-        at = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.empty(0, np.int64)
-        several = text[at] != text[np.append(at[1:], len(text)) - 1] if len(at) else np.empty(0, bool)
-        edges = np.arange(1, parts, dtype=np.uint64) << np.uint64(65 - parts.bit_length())
-        distinct = hashes[at]
-        return distinct, several, np.concatenate([[0], np.searchsorted(distinct, edges), [len(distinct)]])
+    def asked(self, parts: int) -> cells.Asked:
+        """Its anchors; several are those that more than one text here has."""
+
+        def several(order: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+            text = self.text[order]
+            return text[first] != text[end - 1]
+
+        return cells.Asked(self.hashes(), several, parts)
 
     def rows(self, wanted: np.ndarray, frequent: np.ndarray) -> "Suffixes":
         """The suffixes of the wanted runs, and with each the run and string it starts with."""
@@ -184,7 +171,7 @@ class Cell:
         if len(frequent) and len(run):
             key = np.stack([self._words[anchor + 8 * _LEFT + j] for j in range(0, ANCHOR, 8)], 1)
             often = np.isin(np.ascontiguousarray(key).view(f"S{ANCHOR}").ravel(), frequent)
-            which, inner = _expanded(strings[often])
+            which, inner = expanded(strings[often])
             single = begin[often][which] + inner
             run = np.concatenate([run[~often], run[often][which]])
             first = np.concatenate([first[~often], inner])
@@ -207,12 +194,6 @@ def _last_bytes(n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, _FULL >> (np.uint64(8) * (8 - np.maximum(n, 1)).astype(np.uint64)), np.uint64(0))
 
 
-def _expanded(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which, number in it) for each size: 0 to size - 1."""
-    which = np.repeat(np.arange(len(sizes)), sizes)
-    return which, np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-
 class Suffixes:
     """Rows of bytes around an anchor, which is behind the first ``_LEFT`` words.
 
@@ -246,7 +227,7 @@ class Suffixes:
         return one, hashes[at]
 
     def suffix_order(self) -> np.ndarray:
-        return multikey(list(self.words[:, _LEFT:].T))[0]
+        return multikey(len(self.words), self.words[:, _LEFT:].T)[0]
 
     def leading(self) -> np.ndarray:
         """The bytes that decide on the range: those of the anchor, or all of a single string."""
@@ -257,14 +238,14 @@ class Suffixes:
     def pack(self) -> bytes:
         parts = self.words.astype(">u8"), self.before.astype(np.uint8), self.strings.astype(np.uint8)
         raw = b"".join(p.tobytes() for p in (*parts, self.least, self.most))
-        return zstandard.ZstdCompressor(level=1).compress(raw)
+        return cells.compressed(raw)
 
     @staticmethod
     def unpack(blobs: list[bytes]) -> tuple["Suffixes", np.ndarray]:
         """The rows of several blobs, and how many each has."""
         width, parts = _LEFT + _RIGHT, []
         for blob in blobs:
-            raw = zstandard.ZstdDecompressor().decompress(blob)
+            raw = cells.unpacked(blob, np.uint8)
             n = len(raw) // (8 * width + 18)
             words = np.frombuffer(raw, ">u8", n * width).astype(np.uint64).reshape(n, width)
             at = 8 * width * n
@@ -274,34 +255,10 @@ class Suffixes:
         return Suffixes(*(np.concatenate(p) for p in zip(*parts))), np.array([len(p[1]) for p in parts])
 
 
-def multikey(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The order of rows by several columns, and the group of equal rows each place belongs to.
-
-    One column after the other, and each only among rows that are equal so far.
-    """
-    n = len(columns[0])
-    order, group = np.arange(n), np.zeros(n, np.int64)
-    tied = np.arange(n)
-    for column in columns:
-        if not len(tied):
-            break
-        key = column[order[tied]]
-        inner = np.lexsort((key, group[tied]))
-        order[tied] = order[tied][inner]
-        key = key[inner]
-        # A new group begins where the one before did, or where the key changes.
-        new = np.append(True, group[1:] != group[:-1])
-        new[tied[1:]] |= (key[1:] != key[:-1]) & (tied[1:] == tied[:-1] + 1)
-        group = np.cumsum(new) - 1
-        size = np.bincount(group)
-        tied = np.flatnonzero(size[group] > 1)
-    return order, group
-
-
 def least_ids(rows: Suffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(row, first string, end, least id)`` of strings that a smaller id has too, for rows sorted here."""
     right = list(rows.words[:, _LEFT:].T)
-    order, anchor = multikey(right[: ANCHOR // 8])
+    order, anchor, _ = multikey(len(rows.words), right[: ANCHOR // 8])
     none = (np.empty(0, np.int64),) * 4
     if not len(order):
         return none
@@ -314,7 +271,7 @@ def least_ids(rows: Suffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     # Rows that are equal altogether become one, with the least id of them.
     part = rows.take(order)
     rest = list(part.words[:, _LEFT + ANCHOR // 8 :].T) + list(part.words[:, :_LEFT].T)
-    inner, same = multikey([anchor, *rest, part.before, part.strings])
+    inner, same, _ = multikey(len(order), [anchor, *rest, part.before, part.strings])
     first = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
     one = part.take(inner[first])
     one.least = np.minimum.reduceat(part.least[inner], first)
@@ -328,8 +285,8 @@ def least_ids(rows: Suffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     # Several different rows at one anchor: their strings, a bounded number of rows at a time.
     open_rows = np.flatnonzero(sizes > 1)
     cuts = np.flatnonzero(np.append(True, anchor[open_rows][1:] != anchor[open_rows][:-1])) if len(open_rows) else []
-    for group in _batches(open_rows, cuts, one.strings):
-        which, inner = _expanded(one.strings[group])
+    for group in cells.batches(open_rows, cuts, one.strings, _AT_ONCE):
+        which, inner = expanded(one.strings[group])
         where = np.repeat(bounds[group], one.strings[group]) + inner
         least[where] = _least_of_strings(one, anchor, group[which], inner)
     found = [_below(part, kind, one.strings, bounds, least, low) for low in range(0, len(kind), _ROWS)]
@@ -340,7 +297,7 @@ def least_ids(rows: Suffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 def _below(rows: Suffixes, kind, strings, bounds, least, start: int):
     """For some rows, stretches of strings with one least id below the largest id that has the row."""
     kind = kind[start : start + _ROWS]
-    which, inner = _expanded(strings[kind])
+    which, inner = expanded(strings[kind])
     low = least[bounds[kind[which]] + inner]
     hit = np.flatnonzero(low < rows.most[start + which])
     which, inner, low = which[hit], inner[hit], low[hit]
@@ -352,18 +309,6 @@ def _below(rows: Suffixes, kind, strings, bounds, least, start: int):
     return start + which[at], inner[at], ends, low[at]
 
 
-def _batches(rows: np.ndarray, cuts: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """Whole groups of rows, of about ``_AT_ONCE`` strings."""
-    start, held = 0, 0
-    for low, high in zip(cuts, [*cuts[1:], len(rows)]):
-        held += int(sizes[rows[low:high]].sum())
-        if held >= _AT_ONCE:
-            yield rows[start:high]
-            start, held = high, 0
-    if start < len(rows):
-        yield rows[start:]
-
-
 def _least_of_strings(rows: Suffixes, anchor: np.ndarray, row: np.ndarray, string: np.ndarray) -> np.ndarray:
     """The least id of each string: equal ones have one anchor, at one place, and the same bytes."""
     width = 8 * (_LEFT + _RIGHT)
@@ -376,7 +321,7 @@ def _least_of_strings(rows: Suffixes, anchor: np.ndarray, row: np.ndarray, strin
     for j in range(0, LENGTH, 8):
         word = words[place + j].astype(np.uint64)
         columns.append(word & ~_last_bytes(np.full(1, max(0, j + 8 - LENGTH))))
-    order, group = multikey(columns)
+    order, group, _ = multikey(len(row), columns)
     at = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     out = np.empty(len(row), np.int64)
     out[order] = np.minimum.reduceat(rows.least[row][order], at)[group]
@@ -396,46 +341,31 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     bound_batches(spark)
     texts = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cells = _stored(texts, max(1, -(-size // BUCKET_BYTES)))
+    stored = cells.stored(
+        texts.mapInArrow(
+            _cut(cells.CELL_BYTES), "ids array<bigint>, sizes binary, data binary, strings binary, anchors binary, sample binary"
+        ),
+        size,
+    )
     ranges = max(1, -(-size // RANGE_BYTES))
-    parts = 1 << (ranges - 1).bit_length()
-    splitters, frequent = _splitters(cells, ranges)
+    parts = cells.parts_of(size)
+    splitters, frequent = _splitters(stored, ranges)
 
-    asked = cells.mapInArrow(_ask(parts), "cell bigint, part int, once binary, several binary")
-    shared = asked.groupBy("part").applyInArrow(_shared, "cell bigint, part int, mask binary")
-    dealt = cells.groupBy("cell").cogroup(shared.groupBy("cell")).applyInArrow(
+    asked = stored.mapInArrow(_ask(parts), cells.ASKED)
+    shared = asked.groupBy("part").applyInArrow(cells.answer_shared, cells.ANSWERED)
+    dealt = stored.groupBy("cell").cogroup(shared.groupBy("cell")).applyInArrow(
         _deal(parts, splitters, frequent), "cell bigint, range int, rows binary"
     )
     answers = dealt.groupBy("range").applyInArrow(_answer, "cell bigint, found binary")
-    return cells.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(
+    return stored.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(
         _remove(frequent),
         "id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary",
     )
 
 
-def _stored(texts: DataFrame, buckets: int) -> DataFrame:
-    """The cells, as a table bucketed by their number."""
-    spark = texts.sparkSession
-    name = f"cells_{uuid4().hex}"
-    cells = texts.mapInArrow(
-        _cells, "ids array<bigint>, sizes binary, data binary, strings binary, anchors binary, sample binary"
-    ).withColumn("cell", F.monotonically_increasing_id())
-    # The data is packed already.
-    writer = cells.write.bucketBy(buckets, "cell").option("compression", "none")
-    writer.option("path", f"{work_root(spark)}/llm/{name}").saveAsTable(name)
-    table = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    return table
-
-
-def _splitters(cells: DataFrame, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Leading bytes that cut the suffixes into ranges, and the frequent anchors.
-
-    From a sample of bounded size: of more cells than it can hold, a share by their number.
-    """
-    share = max(1, cells.count() * CELL_SAMPLE // SAMPLE)
-    taken = cells.filter(F.pmod(F.xxhash64("cell"), F.lit(share)) == 0).select("sample").collect()
-    sample = np.sort(np.frombuffer(b"".join(bytes(r.sample) for r in taken), f"S{8 * _RIGHT}"))
+def _splitters(stored: DataFrame, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leading bytes that cut the suffixes into ranges, and the frequent anchors, from a bounded sample."""
+    sample = np.sort(np.frombuffer(cells.sample(stored), f"S{8 * _RIGHT}"))
     if not len(sample):
         return sample, np.empty(0, f"S{ANCHOR}")
     anchors, count = np.unique(sample.astype(f"S{ANCHOR}"), return_counts=True)
@@ -448,50 +378,15 @@ def _ask(parts: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 cell = Cell(pa.Table.from_batches([batch.slice(i, 1)]))
-                distinct, several, cuts = cell.asked(parts)
-                low = (distinct >> np.uint64(33 - parts.bit_length())).astype(np.uint32)
-                spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([cell.number] * parts, pa.int64()),
-                        pa.array(range(parts), pa.int32()),
-                        pa.array([low[s][~several[s]].tobytes() for s in spans], pa.binary()),
-                        pa.array([low[s][several[s]].tobytes() for s in spans], pa.binary()),
-                    ],
-                    ["cell", "part", "once", "several"],
-                )
+                yield cell.asked(parts).rows(cell.number)
 
     return ask
 
 
-def _numbers(column: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.frombuffer(b, np.uint32) for b in column.to_pylist()]
-
-
-def _shared(asked: pa.Table) -> pa.Table:
-    """Which of the anchors of a cell another cell has as well."""
-    once, several = _numbers(asked.column("once")), _numbers(asked.column("several"))
-    values, count = np.unique(np.concatenate(once + several), return_counts=True)
-    again = values[count > 1]
-    masks = []
-    for part in once:
-        at = np.minimum(np.searchsorted(again, part), max(len(again) - 1, 0))
-        masks.append(np.packbits(again[at] == part if len(again) else np.zeros(len(part), bool)).tobytes())
-    return pa.table({"cell": asked.column("cell"), "part": asked.column("part"), "mask": pa.array(masks, pa.binary())})
-
-
 def _deal(parts: int, splitters: np.ndarray, frequent: np.ndarray):
     def deal(table: pa.Table, answers: pa.Table) -> pa.Table:
         cell = Cell(table)
-        distinct, several, cuts = cell.asked(parts)
-        keep = several.copy()
-        for part, mask in zip(answers.column("part").to_pylist(), answers.column("mask").to_pylist()):
-            mine = np.flatnonzero(~several[cuts[part] : cuts[part + 1]]) + cuts[part]
-            keep[mine] = np.unpackbits(np.frombuffer(mask, np.uint8), count=len(mine)).astype(bool)
-        found = distinct[keep]
-        hashes = cell.hashes()
-        at = np.minimum(np.searchsorted(found, hashes), max(len(found) - 1, 0))
-        wanted = found[at] == hashes if len(found) else np.zeros(len(hashes), bool)
+        wanted = cells.member(cell.asked(parts).shared(answers), cell.hashes())
         rows, _, _ = cell.rows(wanted, frequent)
         rows, _ = rows.distinct()
         rows = rows.take(rows.suffix_order())
@@ -543,7 +438,7 @@ def _remove(frequent: np.ndarray):
             rows, run, first = cell.rows(np.ones(len(cell.begin), bool), frequent)
             hashes = rows.hashes()
             low, high = (np.searchsorted(found["hash"], hashes, side) for side in ("left", "right"))
-            which, inner = _expanded(high - low)
+            which, inner = expanded(high - low)
             hit = found[low[which] + inner]
             keep = rows.most[which] > hit["least"]
             which, hit = which[keep], hit[keep]
