@@ -145,11 +145,18 @@ def _next(at: int, step: int, depth: int, levels: int) -> int:
 
 
 def exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Cosines of matching rows in double precision."""
+    """Cosines of matching rows in double precision, whatever their scale."""
+    left, right = _scaled(left), _scaled(right)
     dots = np.einsum("ij,ij->i", left, right)
     return dots / np.sqrt(np.einsum("ij,ij->i", left, left) * np.einsum("ij,ij->i", right, right))
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, which is exact, so that squares neither overflow nor vanish."""
+    exponent = np.frexp(np.abs(rows).max(1, initial=0))[1]
+    return np.ldexp(rows, -exponent[:, None])
+
+
 def _cells(sample: np.ndarray) -> np.ndarray:
     """Centres of the deepest upper level that is still small."""
     centres = sample[:1]
