@@ -105,18 +105,18 @@ def mix(
     name is replaced). Rows are dealt to tasks by the key, a hash of seed, id and copy,
     and sorted by it there, so each task writes a random part of the mixture in random order.
     Size is the length of the text; null and empty texts have none and still follow the
-    rate of their source. Repeated ids draw the same count. Rows without an id draw as the
-    id ''. An empty table gives an empty one.
+    rate of their source. Repeated ids draw the same count. A row without an id draws by a hash of all its
+    columns and its number among the rows that equal it, so that each draws for itself. An empty table gives
+    an empty one.
     """
     size = F.coalesce(F.char_length(F.col(f"`{text_column}`")), F.lit(0))
     rates = source_rates(docs, source_column, size, weights, temperature, total)
-    key, source = F.col(f"`{id_column}`"), F.col(f"`{source_column}`")
+    key, source = F.col("_mix_key"), F.col(f"`{source_column}`")
     # Stored, so that Spark knows the size: a small table is broadcast without dealing the
     # documents by source first, a larger one is joined by shuffle.
     rates = saved(rates.withColumnsRenamed({"source": "_mix_source", "rate": "_mix_rate"}), "rates")
-    counted = docs.drop("copy_no", "shuffle_key").join(
-        rates, source.eqNullSafe(F.col("_mix_source")), "left"
-    )
+    named = _with_keys(docs.drop("copy_no", "shuffle_key"), id_column)
+    counted = named.join(rates, source.eqNullSafe(F.col("_mix_source")), "left")
     count = copies(F.coalesce("_mix_rate", F.lit(0.0)), seed, key)
     repeated = (
         counted.withColumn("_mix_count", count)
@@ -124,6 +124,22 @@ def mix(
         .withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("_mix_count") - 1)))
         .drop("_mix_source", "_mix_rate", "_mix_count")
     )
-    text = F.concat_ws(":", F.lit(seed), F.coalesce(key.cast("string"), F.lit("")), F.col("copy_no"))
-    keyed = repeated.withColumn("shuffle_key", F.md5(text))
+    text = F.concat_ws(":", F.lit(seed), key, F.col("copy_no"))
+    keyed = repeated.withColumn("shuffle_key", F.md5(text)).drop("_mix_key")
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+
+
+def _with_keys(docs: DataFrame, id_column: str) -> DataFrame:
+    """Adds ``_mix_key``: the id, or for a row without one the hash of its values and a number.
+
+    Rows without an id that are equal are counted before they meet, and dealt out again by number.
+    """
+    known = docs.filter(F.col(f"`{id_column}`").isNotNull())
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in docs.columns if c != id_column]
+    nameless = docs.filter(F.col(f"`{id_column}`").isNull()).groupBy(*columns).agg(F.count("*").alias("_mix_n"))
+    numbered = nameless.withColumn("_mix_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_mix_n"))))
+    key = F.concat_ws(":", F.concat(F.lit("~"), F.md5(F.concat_ws("\x1f", *values))), F.col("_mix_n"))
+    return known.withColumn("_mix_key", F.col(f"`{id_column}`").cast("string")).unionByName(
+        numbered.withColumn("_mix_key", key).drop("_mix_n")
+    )

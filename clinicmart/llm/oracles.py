@@ -12,11 +12,16 @@ WITH sizes AS (
 ), rates AS (
   SELECT source, CASE WHEN size > 0 THEN whole * sqrt(size) / weights / size ELSE 0 END AS rate
   FROM sizes, sums
+), keyed AS (
+  SELECT *, coalesce(doc_id::VARCHAR,
+    '~' || md5(concat_ws(chr(31), coalesce(text, ''), coalesce(lang, ''), coalesce(source, ''),
+      coalesce(n_chars::VARCHAR, '')))
+      || ':' || row_number() OVER (PARTITION BY doc_id, text, lang, source, n_chars)) AS key
+  FROM documents
 ), drawn AS (
   SELECT d.*, rate,
-    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':1'), 1, 13))::BIGINT::DOUBLE
-      / 4503599627370496.0 AS u
-  FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
+    ('0x' || substr(md5('mix-1:' || key || ':1'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
+  FROM keyed d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
 ), counted AS (
   SELECT *,
     len(list_filter(
@@ -27,8 +32,8 @@ WITH sizes AS (
 ), copied AS (
   SELECT * EXCLUDE (rate, u, n), unnest(range(0, n)) AS copy_no FROM counted WHERE n > 0
 )
-SELECT * EXCLUDE (copy_no), copy_no::INTEGER AS copy_no,
-  md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || copy_no) AS shuffle_key
+SELECT * EXCLUDE (copy_no, key), copy_no::INTEGER AS copy_no,
+  md5('mix-1:' || key || ':' || copy_no) AS shuffle_key
 FROM copied
 """
 
