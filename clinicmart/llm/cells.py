@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from clinicmart.sources.store import work_root
 
-#: Text of one cell, of a bucket of cells, and text that one part of the anchors stands for. A cell is a row,
-#: and rows of more than some 100 KB are held badly by the memory of executors.
+#: Text of one cell, of a bucket of cells, and text that one part of the anchors stands for.
 CELL_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 PART_BYTES = 64 << 20

@@ -241,18 +241,36 @@ class Suffixes:
         return cells.compressed(raw)
 
     @staticmethod
-    def unpack(blobs: list[bytes]) -> tuple["Suffixes", np.ndarray]:
-        """The rows of several blobs, and how many each has."""
-        width, parts = _LEFT + _RIGHT, []
-        for blob in blobs:
-            raw = cells.unpacked(blob, np.uint8)
-            n = len(raw) // (8 * width + 18)
-            words = np.frombuffer(raw, ">u8", n * width).astype(np.uint64).reshape(n, width)
-            at = 8 * width * n
-            small = [np.frombuffer(raw, np.uint8, n, at + k * n).astype(np.int64) for k in range(2)]
-            ids = [np.frombuffer(raw, np.int64, n, at + 2 * n + 8 * k * n) for k in range(2)]
-            parts.append((words, *small, *ids))
-        return Suffixes(*(np.concatenate(p) for p in zip(*parts))), np.array([len(p[1]) for p in parts])
+    def unpack(blob: bytes) -> "Suffixes":
+        """The rows of a blob, as views of its bytes."""
+        raw = cells.unpacked(blob, np.uint8)
+        width = _LEFT + _RIGHT
+        n = len(raw) // (8 * width + 18)
+        words = np.frombuffer(raw, ">u8", n * width).reshape(n, width)
+        at = 8 * width * n
+        small = [np.frombuffer(raw, np.uint8, n, at + k * n) for k in range(2)]
+        ids = [np.frombuffer(raw, np.int64, n, at + 2 * n + 8 * k * n) for k in range(2)]
+        return Suffixes(words, *small, *ids)
+
+    @staticmethod
+    def joined(parts: list["Suffixes"]) -> "Suffixes":
+        fields = zip(*[(p.words, p.before, p.strings, p.least, p.most) for p in parts])
+        kinds = (np.uint64, *[np.int64] * 4)
+        return Suffixes(*[np.concatenate(field, dtype=kind) for field, kind in zip(fields, kinds)])
+
+
+def slices(blobs: list[Suffixes]) -> Iterator[tuple[list[tuple[int, int]], Suffixes]]:
+    """The rows of sorted blobs by their leading word, some at a time: where they are in each blob, and the rows.
+
+    Rows with the same leading word come together, so that those of an anchor do.
+    """
+    heads = [blob.words[:, _LEFT].astype(np.uint64) for blob in blobs]
+    some = np.sort(np.concatenate([head[::64] for head in heads])) if heads else np.empty(0, np.uint64)
+    cuts = np.unique(some[_ROWS // 64 :: _ROWS // 64])
+    bounds = [np.concatenate([[0], np.searchsorted(head, cuts), [len(head)]]) for head in heads]
+    for k in range(len(cuts) + 1):
+        spans = [(int(b[k]), int(b[k + 1])) for b in bounds]
+        yield spans, Suffixes.joined([blob.take(np.arange(*span)) for blob, span in zip(blobs, spans)])
 
 
 def least_ids(rows: Suffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -410,18 +428,22 @@ _FOUND = np.dtype([("hash", np.uint64), ("low", np.uint8), ("high", np.uint8), (
 
 def _answer(dealt: pa.Table) -> pa.Table:
     """The strings of each cell that a smaller id has, by the hashes of their suffixes."""
-    rows, sizes = Suffixes.unpack(dealt.column("rows").to_pylist())
-    row, low, high, least = least_ids(rows)
-    out = np.empty(len(row), _FOUND)
-    out["hash"], out["low"], out["high"], out["least"] = rows.hashes()[row], low, high, least
-    blob = np.searchsorted(np.cumsum(sizes), row, "right")
-    order = np.argsort(blob, kind="stable")
-    full, start = np.unique(blob[order], return_index=True)
-    parts = np.split(out[order], start[1:]) if len(full) else []
+    blobs = [Suffixes.unpack(blob) for blob in dealt.column("rows").to_pylist()]
+    found: list[list[bytes]] = [[] for _ in blobs]
+    for spans, rows in slices(blobs):
+        row, low, high, least = least_ids(rows)
+        out = np.empty(len(row), _FOUND)
+        out["hash"], out["low"], out["high"], out["least"] = rows.hashes()[row], low, high, least
+        blob = np.searchsorted(np.cumsum([b - a for a, b in spans]), row, "right")
+        order = np.argsort(blob, kind="stable")
+        full, start = np.unique(blob[order], return_index=True)
+        for i, part in zip(full.tolist(), np.split(out[order], start[1:]) if len(full) else []):
+            found[i].append(part.tobytes())
+    hit = [i for i, parts in enumerate(found) if parts]
     return pa.table(
         {
-            "cell": dealt.column("cell").take(pa.array(full, pa.int64())),
-            "found": pa.array([p.tobytes() for p in parts], pa.binary()),
+            "cell": dealt.column("cell").take(pa.array(hit, pa.int64())),
+            "found": pa.array([b"".join(found[i]) for i in hit], pa.binary()),
         }
     )
 
