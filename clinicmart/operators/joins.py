@@ -4,17 +4,21 @@ Stored dimensions are joined without a hint: Spark knows the size of their
 files, broadcasts below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
 above it, with hot keys split by adaptive execution. For a computed side
 Spark only has an estimate, which for a join is the product of its inputs;
-``broadcast_if_small`` measures such a side instead.
+``broadcast_if_small`` measures such a side instead, and ``stored_side`` computes it
+once and leaves the choice to Spark, which then knows its size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinicmart.sources.store import work_root
+
 
 def lookup(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left"
@@ -41,3 +45,15 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def stored_side(df: DataFrame) -> DataFrame:
+    """A computed side, written to the shared work folder and read back.
+
+    For a side whose inputs are large, such as the few users of a role among all: measuring it would
+    read them once more. Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``
+    and shuffles it above.
+    """
+    path = f"{work_root(df.sparkSession)}/sides/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -263,3 +263,11 @@ def test_ranges_are_released(spark, tmp_path):
     folder = work_root(spark).removeprefix("file:") + "/ranges/"
     left = {p.rsplit("/", 1)[1] for p in glob.glob(folder + "*")}
     assert mine.pop().rsplit("/", 1)[1] not in left and other.count() == 3
+
+
+def test_stored_side_has_a_known_size(spark):
+    big, small = spark.range(1000), spark.range(3).withColumn("v", F.lit("x"))
+    joined = big.join(small.withColumnRenamed("id", "o"), F.col("id") == F.col("o")).select("id", "v")
+    side = joins.stored_side(joined)
+    plan = plan_of(big.withColumn("w", F.lit(1)).join(side, "id"))
+    assert "BroadcastHashJoin" in plan and side.count() == 3
