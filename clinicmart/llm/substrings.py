@@ -40,7 +40,7 @@ BLOCK_BYTES = 16 << 20
 #: An anchor with this many places in the sample is dealt window by window.
 FREQUENT = 16
 #: Windows sorted at once, where they belong to several anchors.
-_AT_ONCE = 1 << 19
+_AT_ONCE = 1 << 18
 _LOW = np.uint64((1 << 23) - 1)
 
 
@@ -95,6 +95,7 @@ def _cut(window: int, anchor: int, cell_bytes: int):
                 if size and size + len(data) > cell_bytes:
                     yield _cell(ids, texts, found)
                     ids, texts, found, size = [], [], [], 0
+                    cells.trim()
                 starts, ends, first = hashing.find_words(data, bounds, hashing.SPACE)
                 words = hashing.hash_words(data, starts, ends)
                 ids.append(rows.column("id"))
@@ -103,6 +104,8 @@ def _cut(window: int, anchor: int, cell_bytes: int):
                 size += len(data)
         if ids:
             yield _cell(ids, texts, found)
+        ids, texts, found = [], [], []
+        cells.trim()
 
     return cut
 
@@ -213,7 +216,7 @@ def _deal(parts: int, blocks: int, frequent: np.ndarray, window: int):
             }
         )
 
-    return deal
+    return cells.trimmed(deal)
 
 
 class Block:
@@ -343,7 +346,7 @@ def _answer(window: int):
             }
         )
 
-    return answer
+    return cells.trimmed(answer)
 
 
 def repeated(
@@ -380,7 +383,7 @@ def repeated(
     frequent = values[count >= FREQUENT]
 
     asked = stored.select("cell", "anchors", "phrases").mapInArrow(_ask(parts, window), cells.ASKED)
-    shared = asked.groupBy("part").applyInArrow(cells.answer_shared, cells.ANSWERED)
+    shared = asked.groupBy("part").applyInArrow(cells.trimmed(cells.answer_shared), cells.ANSWERED)
     dealt = stored.groupBy("cell").cogroup(shared.groupBy("cell")).applyInArrow(
         _deal(parts, blocks, frequent, window), "cell bigint, block int, rows binary"
     )
@@ -439,7 +442,7 @@ def _remove(frequent: np.ndarray, window: int):
             }
         )
 
-    return remove
+    return cells.trimmed(remove)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -36,9 +36,11 @@ ANCHOR = 16
 RANGE_BYTES = 32 << 20
 #: An anchor with this many places in the sample is dealt string by string.
 FREQUENT = 16
+#: Strings of a run, in the mean.
+_STRINGS = (LENGTH - ANCHOR + 2) / 2
 #: Strings compared at once.
-_AT_ONCE = 1 << 19
-_ROWS = 1 << 17
+_AT_ONCE = 1 << 18
+_ROWS = 1 << 16
 
 _BEFORE = LENGTH - ANCHOR
 _LEFT = -(-_BEFORE // 8)
@@ -103,6 +105,7 @@ def _cut(cell_bytes: int):
                 if size and size + len(data) > cell_bytes:
                     yield _cell(ids, texts, runs)
                     ids, texts, runs, size = [], [], [], 0
+                    cells.trim()
                 begin, strings, anchor = find_runs(data, bounds)
                 ids.append(rows.column("id"))
                 texts.append((data, np.diff(bounds)))
@@ -110,6 +113,8 @@ def _cut(cell_bytes: int):
                 size += len(data)
         if ids:
             yield _cell(ids, texts, runs)
+        ids, texts, runs = [], [], []
+        cells.trim()
 
     return cut
 
@@ -117,9 +122,11 @@ def _cut(cell_bytes: int):
 def _cell(ids, texts, runs) -> pa.RecordBatch:
     data = np.concatenate([d for d, _ in texts])
     begin, strings, anchor = (np.concatenate(part) for part in zip(*runs))
-    # Evenly over the runs: as many anchors of each kind as there are runs of it.
+    # Evenly over the runs: the suffix at the anchor, and one of the strings of the run.
     some = cells.sampled(len(anchor))
-    sample = _padded(data)[(anchor[some] + 8 * _LEFT)[:, None] + np.arange(8 * _RIGHT)]
+    string = begin[some] + np.arange(len(some)) * 7919 % np.maximum(strings[some], 1)
+    place = np.stack([anchor[some], string], 1) + 8 * _LEFT
+    sample = _padded(data)[place[:, :, None] + np.arange(8 * _RIGHT)]
     lists = pa.chunked_array(ids).combine_chunks()
     values = [
         pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists),
@@ -370,11 +377,11 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     splitters, frequent = _splitters(stored, ranges)
 
     asked = stored.mapInArrow(_ask(parts), cells.ASKED)
-    shared = asked.groupBy("part").applyInArrow(cells.answer_shared, cells.ANSWERED)
+    shared = asked.groupBy("part").applyInArrow(cells.trimmed(cells.answer_shared), cells.ANSWERED)
     dealt = stored.groupBy("cell").cogroup(shared.groupBy("cell")).applyInArrow(
         _deal(parts, splitters, frequent), "cell bigint, range int, rows binary"
     )
-    answers = dealt.groupBy("range").applyInArrow(_answer, "cell bigint, found binary")
+    answers = dealt.groupBy("range").applyInArrow(cells.trimmed(_answer), "cell bigint, found binary")
     return stored.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(
         _remove(frequent),
         "id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary",
@@ -382,13 +389,23 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def _splitters(stored: DataFrame, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Leading bytes that cut the suffixes into ranges, and the frequent anchors, from a bounded sample."""
-    sample = np.sort(np.frombuffer(cells.sample(stored), f"S{8 * _RIGHT}"))
+    """Leading bytes that cut the suffixes into ranges, and the frequent anchors, from a bounded sample.
+
+    A frequent anchor stands for the strings of its runs, each of which a cell sends once.
+    """
+    kind = f"S{8 * _RIGHT}"
+    sample = np.frombuffer(cells.sample(stored), [("anchor", kind), ("string", kind)])
     if not len(sample):
-        return sample, np.empty(0, f"S{ANCHOR}")
-    anchors, count = np.unique(sample.astype(f"S{ANCHOR}"), return_counts=True)
-    at = np.arange(1, ranges) * len(sample) // ranges
-    return np.unique(sample[at]), anchors[count >= FREQUENT]
+        return np.empty(0, kind), np.empty(0, f"S{ANCHOR}")
+    anchors, which, count = np.unique(sample["anchor"].astype(f"S{ANCHOR}"), return_inverse=True, return_counts=True)
+    often = count >= FREQUENT
+    seen_cells = max(1, len(sample) // cells.CELL_SAMPLE)
+    weight = np.where(often, _STRINGS * np.minimum(count, seen_cells) / count, 1.0)[which]
+    keys = np.where(often[which], sample["string"], sample["anchor"])
+    order = np.argsort(keys, kind="stable")
+    sums = np.cumsum(weight[order])
+    at = np.searchsorted(sums, sums[-1] * np.arange(1, ranges) / ranges)
+    return np.unique(keys[order][at]), anchors[often]
 
 
 def _ask(parts: int):
@@ -420,7 +437,7 @@ def _deal(parts: int, splitters: np.ndarray, frequent: np.ndarray):
             }
         )
 
-    return deal
+    return cells.trimmed(deal)
 
 
 _FOUND = np.dtype([("hash", np.uint64), ("low", np.uint8), ("high", np.uint8), ("least", np.int64)])
@@ -497,7 +514,7 @@ def _remove(frequent: np.ndarray):
             }
         )
 
-    return remove
+    return cells.trimmed(remove)
 
 
 def digest(found: DataFrame) -> DataFrame:
