@@ -35,8 +35,8 @@ SHORT = 5
 PROBES = 4
 #: Base of the logarithm in which counts are kept.
 QUANT = 2.0
-#: Pairs seen less often are left to the word model.
-LEAST_PAIR = 2
+#: Every pair seen in training is entered, a single one too.
+LEAST_PAIR = 1
 PAIR_WEIGHT = 0.6
 #: Tokens a task counts before it sends its sums on, and bytes of a group of texts.
 FLUSH_KEYS = 4_000_000
@@ -95,7 +95,7 @@ def count(texts: DataFrame, parts: int) -> DataFrame:
     """``(kind, part, keys, counts)`` of each hash partition, a range of hashes, counted whole.
 
     Rows of the kind ``word`` hold words and their counts, 8 bytes each; rows of the kind
-    ``pair`` the block of the filter for the frequent pairs, and its highest level.
+    ``pair`` the block of the filter for all pairs, and its highest level.
     """
 
     def send(kind: str, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +168,7 @@ def _sum(at: tuple[str, int] | None, held: list) -> Iterator[pa.RecordBatch]:
     if at is not None:
         keys, counts = _merged(*map(np.concatenate, zip(*held)))
         if at[0] == "pair":
-            often = counts >= LEAST_PAIR
-            block = LogBloom.build(keys[often], counts[often])
+            block = LogBloom.build(keys, counts)
             yield _row(*at, block.words.tobytes(), np.array([block.top]).tobytes())
         else:
             yield _row(*at, keys.tobytes(), counts.tobytes())
@@ -367,7 +366,7 @@ def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
 def _answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     """The counts of the asked words of one partition and the levels of its pairs, in order.
 
-    0 for what no training text holds (or, for a pair, not often enough).
+    0 for what no training text holds.
     """
     of = {k: (keys, counts) for k, keys, counts in zip(known["kind"], known["keys"], known["counts"])}
     words, counts = [np.frombuffer(c, t) for c, t in zip(of.get("word", (b"", b"")), (np.uint64, np.int64))]

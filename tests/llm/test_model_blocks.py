@@ -53,3 +53,21 @@ def test_short_keys_come_back():
         short = lm.lengthened(lm.shortened(mine, parts - 1, parts))
         assert len(short) == len(mine) and (np.diff(short.astype(np.int64)) >= 0).all()
     assert lm.lengthened(b"").tolist() == []
+
+
+def test_a_pair_seen_once_counts(spark):
+    texts = ["a b", "c d", "c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.id: r.score for r in lm.score(docs, docs).collect()}
+
+    def rounded(count):
+        return float(lm.restored(lm.quantised(np.array([count])))[0])
+
+    # Tokens: a, b, end, c, d, end, c, d, end; the pair (a, b) occurs once.
+    total, distinct = 9, 5
+    word = lambda c: (rounded(c) + 1) / (total + distinct + 1)
+    step = lambda pair, before, c: math.log10(
+        lm.PAIR_WEIGHT * min(rounded(pair) / rounded(before), 1.0) + (1 - lm.PAIR_WEIGHT) * word(c)
+    )
+    exact = step(1, 3, 1) + step(1, 1, 1) + step(1, 1, 3)
+    assert got[0] == pytest.approx(exact, abs=1e-9)
