@@ -24,15 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicmart.llm.boosting import Boosted, fit
+from clinicmart.llm.boosting import Boosted, calibrate_table, fit, fit_table
 from clinicmart.llm.common import bound_batches, joined_spans, named, saved, sha256_text, spans_of, text_chunks, with_id
 
 KINDS = ("email", "ip", "card", "phone")
-#: Labelled candidates per kind and label the trees learn from: those with the smallest hash.
-TRAIN_CANDIDATES = 4_000
 PRECISION = 0.98
 LEAST_EVIDENCE = 20
 CONTEXT = 24
@@ -279,8 +277,8 @@ def examples(text: str) -> Iterator[tuple[str, bool, list[float]]]:
             yield kind, False, features(text, start, end, kind)
 
 
-def labelled(docs: DataFrame, text_column: str = "text", most: int = TRAIN_CANDIDATES) -> DataFrame:
-    """``(kind, label, features)``: examples and counterexamples, up to ``most`` of each kind and label."""
+def labelled(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """``(kind, label, features, weight)``: every example and counterexample, copies as a count."""
     bound_batches(docs.sparkSession)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,28 +299,96 @@ def labelled(docs: DataFrame, text_column: str = "text", most: int = TRAIN_CANDI
         collect, "kind string, label int, features array<double>"
     )
     # Copies meet as a count, so that no task gets those of one example.
-    counted = found.groupBy("kind", "label", "features").agg(F.count("*").alias("_n"))
-    counted = saved(counted.withColumn("_hash", F.xxhash64("features")), "examples")
-    kinds = counted.groupBy("kind", "label").agg(F.count("*").alias("_kinds"))
-    # Only those near the smallest hashes are ranked: eight times the sample in the mean.
-    place = F.col("_hash").cast("double") / F.lit(2.0**64) + F.lit(0.5)
-    near = counted.join(F.broadcast(kinds), ["kind", "label"]).filter(place * F.col("_kinds") <= 8 * most)
-    order = Window.partitionBy("kind", "label").orderBy("_hash", "features")
-    upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ranked = near.withColumn("_left", F.lit(most) - F.coalesce(upto, F.lit(0))).filter("_left > 0")
-    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("_n", "_left")))
-    return ranked.select("kind", "label", "features", each.alias("_copy")).drop("_copy")
-
-
-def learn(sample: DataFrame, precision: float = PRECISION) -> Detector:
-    """Fit trees on a labelled sample and choose a threshold per kind.
-
-    Every fourth example is held out for calibration and thresholds. A kind is only added
-    to where at least ``LEAST_EVIDENCE`` held-out examples and as many counterexamples
-    back its threshold. A sample without both labels gives a detector that adds nothing.
+    return saved(found.groupBy("kind", "label", "features").agg(F.count("*").alias("weight")), "examples")
+
+
+def learn(examples: DataFrame, precision: float = PRECISION) -> Detector:
+    """Fit trees on all labelled candidates and choose a threshold per kind, by Spark aggregations.
+
+    Every fourth copy of an example is held out for calibration and thresholds: of ``n`` copies,
+    ``(n + o) // 4``, where ``o`` (0 to 3) comes from the example's hash. A kind is only added to
+    where at least ``LEAST_EVIDENCE`` held-out examples and as many counterexamples back its
+    threshold. Examples without both labels give a detector that adds nothing.
     """
-    # Bounded: kinds times labels times the size of the sample.
-    return learn_from([(r["kind"], r["label"], tuple(r["features"])) for r in sample.collect()], precision)
+    if examples.select("label").distinct().limit(2).count() < 2:
+        return Detector(None, {})
+    offset = F.pmod(F.xxhash64("kind", "label", "features"), F.lit(4))
+    split = examples.withColumn("_held", ((F.col("weight") + offset) / 4).cast("long"))
+    trees = fit_table(
+        split.select("features", "label", (F.col("weight") - F.col("_held")).alias("weight")), FEATURES
+    )
+    if trees is None:
+        return Detector(None, {})
+    model = trees
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(table[:, 0].astype(np.int32)), pa.array(model.margin(table) if len(table) else []),
+                 batch.column("label"), batch.column("weight")],
+                ["rank", "margin", "label", "weight"],
+            )
+
+    held = split.filter("_held > 0").select("features", "label", F.col("_held").alias("weight"))
+    scored = held.mapInArrow(margins, "rank int, margin double, label int, weight bigint")
+    scored = saved(scored.groupBy("rank", "margin", "label").agg(F.sum("weight").alias("weight")), "examples-held")
+    calibrate_table(trees, scored)
+    return Detector(trees, _thresholds(scored, trees, precision))
+
+
+def _thresholds(scored: DataFrame, trees: Boosted, precision: float) -> dict[str, float]:
+    """Per kind the least probability at which the held-out examples above it are precise enough.
+
+    Probabilities are sorted over the partitions; each partition learns the counts before it.
+    """
+    p = 1 / (1 + F.exp(-F.greatest(F.least(F.lit(trees.slope) * F.col("margin") + F.lit(trees.offset), F.lit(40.0)), F.lit(-40.0))))
+    sums = scored.groupBy("rank", p.alias("p")).agg(
+        F.sum(F.col("label") * F.col("weight")).alias("ones"), F.sum("weight").alias("all")
+    )
+    ordered = sums.rdd.map(lambda r: ((r["rank"], -r["p"]), (r["ones"], r["all"]))).sortByKey().cache()
+    try:
+        def totals(index, part):
+            seen: dict[int, list[int]] = {}
+            for (rank, _), (ones, every) in part:
+                got = seen.setdefault(rank, [0, 0])
+                got[0] += ones
+                got[1] += every
+            yield index, seen
+
+        before: dict[tuple[int, int], tuple[int, int]] = {}
+        whole: dict[int, list[int]] = {}
+        for index, seen in sorted(ordered.mapPartitionsWithIndex(totals).collect()):
+            for rank, (ones, every) in seen.items():
+                got = whole.setdefault(rank, [0, 0])
+                before[index, rank] = tuple(got)
+                got[0] += ones
+                got[1] += every
+
+        def least(index, part):
+            running: dict[int, list[int]] = {}
+            best: dict[int, float] = {}
+            for (rank, minus_p), (ones, every) in part:
+                got = running.setdefault(rank, list(before.get((index, rank), (0, 0))))
+                got[0] += ones
+                got[1] += every
+                if got[0] >= precision * got[1]:
+                    best[rank] = -minus_p
+            yield best
+
+        least_good: dict[int, float] = {}
+        for best in ordered.mapPartitionsWithIndex(least).collect():
+            for rank, prob in best.items():
+                least_good[rank] = min(prob, least_good.get(rank, prob))
+    finally:
+        ordered.unpersist()
+    thresholds = {}
+    for rank, kind in enumerate(KINDS):
+        ones, every = whole.get(rank, (0, 0))
+        if min(every - ones, ones) < LEAST_EVIDENCE or rank not in least_good:
+            continue
+        thresholds[kind] = max(0.9, least_good[rank])
+    return thresholds
 
 
 def learn_from(sample: list[tuple[str, int, tuple[float, ...]]], precision: float = PRECISION) -> Detector:
