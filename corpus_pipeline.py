@@ -60,10 +60,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; ``n_chars`` follows the text."""
     detector = personal.learn(personal.labelled(docs))
-    found = personal.detect(whole_rows(docs, "text"), detector, "row")
+    # The text goes to the detector once: where nothing is found, the redacted text is the text.
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    found = personal.detect(docs.select(rest.alias("row"), "text"), detector, "row")
     changed = F.size("spans") > 0
-    columns = {c: F.col("id").getField(c) for c in docs.columns}
-    columns["text"] = F.when(changed, F.col("redacted")).otherwise(columns["text"])
+    columns = {c: F.col("redacted") if c == "text" else F.col("id").getField(c) for c in docs.columns}
     if "n_chars" in columns:
         length = F.char_length("redacted").cast(docs.schema["n_chars"].dataType)
         columns["n_chars"] = F.when(changed, length).otherwise(columns["n_chars"])

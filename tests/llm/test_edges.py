@@ -454,3 +454,17 @@ def test_personal_data_in_long_runs_of_digits():
     assert len([p for p in personal.proposals(many) if p[2] == "phone"]) == 20_000
     detector = personal.learn_from([(k, label, (float(label),) * personal.FEATURES) for k in personal.KINDS for label in (0, 1) for _ in range(200)])
     assert all(e - s >= 9 for s, _, e, _ in detector.spans(many)[1])
+
+
+def test_redaction_sends_each_text_once(spark, monkeypatch):
+    rows = [(1, "mail a.b@c.de now", "en", 17), (1, "mail a.b@c.de now", "en", 17), (2, "plain", None, 5),
+            (None, None, "de", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars bigint")
+    seen = []
+    detect = personal.detect
+    monkeypatch.setattr(personal, "detect", lambda texts, *a: seen.append(texts.schema) or detect(texts, *a))
+    out = corpus_pipeline.redact_personal_data(spark, docs, "")
+    got = sorted(out.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
+    assert [r.text for r in got] == ["mail <EMAIL> now", "mail <EMAIL> now", "plain", None]
+    assert [r.n_chars for r in got] == [16, 16, 5, None] and out.columns == docs.columns
+    assert "text" not in seen[0]["row"].dataType.fieldNames()
